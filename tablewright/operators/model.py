@@ -161,8 +161,9 @@ class DataModel:
 @dataclass
 class _Prepared:
     frame: DataFrame  # renamed, undeclared columns dropped
-    values: dict[str, Column]  # declared column -> coerced value
-    ok: dict[str, Column]  # declared column -> lossless flag
+    checked: DataFrame  # coerced values under their names + raw inputs under _raw()
+    ok: dict[str, Column]  # declared column -> lossless flag (over the raw inputs)
+    declared: list[str]  # declared columns present, in input order
     missing: list[str]
     wrong_type: dict[str, str]  # column -> actual type
     extra: list[str]
@@ -172,6 +173,10 @@ def _q(name: str) -> str:
     return f"`{name}`"
 
 
+def _raw(name: str) -> str:
+    return f"__raw__{name}"
+
+
 def _prepare(df: DataFrame, model: type[DataModel]) -> _Prepared:
     renames = {o: n for o, n in model._pre_rename.items() if o in df.columns}
     if renames:
@@ -187,7 +192,7 @@ def _prepare(df: DataFrame, model: type[DataModel]) -> _Prepared:
         if name not in types:
             continue
         src = types[name]
-        col = F.col(_q(name))
+        col = F.col(_q(_raw(name)))
         if model._coerce:
             values[name], ok[name] = coerce(
                 col, src, fld.dtype, levels=fld.levels, on_unknown=fld.on_unknown
@@ -196,7 +201,16 @@ def _prepare(df: DataFrame, model: type[DataModel]) -> _Prepared:
             if src != fld.spark_type:
                 wrong[name] = src.simpleString()
             values[name], ok[name] = nan_to_null(col, src), F.lit(True)
-    return _Prepared(frame, values, ok, missing, wrong, extra)
+    raw = frame.select(*[F.col(_q(c)).alias(_raw(c)) for c in frame.columns])
+    checked = raw.select(
+        *[
+            (values[c] if c in values else F.col(_q(_raw(c)))).alias(c)
+            for c in frame.columns
+        ],
+        *[_q(_raw(c)) for c in frame.columns],
+    )
+    declared = [c for c in frame.columns if c in values]
+    return _Prepared(frame, checked, ok, declared, missing, wrong, extra)
 
 
 def coerced(df: DataFrame, model: type[DataModel]) -> DataFrame:
@@ -206,13 +220,7 @@ def coerced(df: DataFrame, model: type[DataModel]) -> DataFrame:
 
 
 def _coerced_frame(prep: _Prepared, model: type[DataModel]) -> DataFrame:
-    cols = []
-    for c in prep.frame.columns:
-        if c in prep.values:
-            cols.append(prep.values[c].alias(c))
-        else:
-            cols.append(F.col(_q(c)))
-    out = prep.frame.select(*cols)
+    out = prep.checked.select(*[_q(c) for c in prep.frame.columns])
     if model._ml_conform:
         from .conform import ml_conform
 
@@ -244,9 +252,9 @@ def _row_specs(prep: _Prepared, model: type[DataModel]) -> list[_Spec]:
         for name in prep.extra:
             specs.append(_Spec("column_in_schema", name, static_fail=True))
     for name, fld in fields.items():
-        if name not in prep.values:
+        if name not in prep.declared:
             continue
-        v = prep.values[name]
+        v = F.col(_q(name))
         if model._coerce:
             specs.append(_Spec(f"coerce_dtype('{DISPLAY_NAMES[fld.dtype]}')", name, fails=~prep.ok[name]))
         if not fld.nullable:
@@ -269,17 +277,17 @@ def _table_specs(prep: _Prepared, model: type[DataModel]) -> list[_Spec]:
     specs: list[_Spec] = []
     n = F.count(F.lit(1))
     for name in model.fields():
-        if name in prep.values and HAS_VALUE_PATTERN.match(name):
+        if name in prep.declared and HAS_VALUE_PATTERN.match(name):
             specs.append(
                 _Spec(
                     "has_at_least_one_value",
                     name,
-                    passed=(F.count(prep.values[name]) > 0) | (n == 0),
+                    passed=(F.count(F.col(_q(name))) > 0) | (n == 0),
                 )
             )
     specs.append(_Spec("dataframe_is_non_empty", None, passed=n > 0))
-    if model._ordinal and model._ordinal in prep.values:
-        o = prep.values[model._ordinal]
+    if model._ordinal and model._ordinal in prep.declared:
+        o = F.col(_q(model._ordinal))
         specs.append(
             _Spec(
                 "index_is_monotonically_increasing",
@@ -305,7 +313,7 @@ def _unique_sets(prep: _Prepared, model: type[DataModel]) -> dict[str, list[str]
     sets = {name: list(cols) for name, cols in model._unique.items()}
     if model._ordinal:
         sets["index_is_monotonically_increasing"] = [model._ordinal]
-    return {k: v for k, v in sets.items() if all(c in prep.values for c in v)}
+    return {k: v for k, v in sets.items() if all(c in prep.declared for c in v)}
 
 
 def report(df: DataFrame, model: type[DataModel], *, skip: Sequence[str] = ()) -> DataFrame:
@@ -316,7 +324,7 @@ def report(df: DataFrame, model: type[DataModel], *, skip: Sequence[str] = ()) -
     but the report rows reaches the driver.
     """
     prep = _prepare(df, model)
-    values = _coerced_values_frame(prep)
+    values = prep.checked
     specs = _row_specs(prep, model) + _table_specs(prep, model) + _custom_specs(model)
     specs = [s for s in specs if s.check not in skip]
 
@@ -368,13 +376,6 @@ def report(df: DataFrame, model: type[DataModel], *, skip: Sequence[str] = ()) -
     return out
 
 
-def _coerced_values_frame(prep: _Prepared) -> DataFrame:
-    """Frame of coerced declared values, with custom checks able to see them."""
-    cols = [prep.values[c].alias(c) for c in prep.frame.columns if c in prep.values]
-    others = [F.col(_q(c)) for c in prep.frame.columns if c not in prep.values]
-    return prep.frame.select(*cols, *others)
-
-
 def _message(rows: list) -> str:
     lines = []
     for r in rows:
@@ -413,7 +414,7 @@ def failure_rows(
     """
     prep = _prepare(df, model)
     specs = [s for s in _row_specs(prep, model) + _custom_specs(model) if s.fails is not None]
-    values = _coerced_values_frame(prep)
+    values = prep.checked
     flags = [F.when(F.coalesce(s.fails, F.lit(False)), F.lit(s.check)) for s in specs]
     out = values.select("*", *[f.alias(f"__f{i}") for i, f in enumerate(flags)])
     names = [F.col(f"__f{i}") for i in range(len(flags))]
@@ -430,7 +431,7 @@ def failure_rows(
             cond = term if cond is None else cond & term
         out = out.join(dups, on=cond, how="left").drop(*[f"__u{j}_{k}" for k in range(len(cols))])
         names.append(F.when(F.col(f"__dup{j}"), F.lit(name)))
-    helper = [c for c in out.columns if c.startswith("__f") or c.startswith("__dup")]
+    helper = [c for c in out.columns if c.startswith("__f") or c.startswith("__dup") or c.startswith("__raw__")]
     out = out.withColumn("failed_checks", F.array_compact(F.array(*names)) if names else F.array().cast("array<string>"))
     out = out.drop(*helper)
     if only_failed:

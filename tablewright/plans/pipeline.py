@@ -16,6 +16,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.features import (
     Center,
@@ -191,9 +192,21 @@ def require_fitted(model) -> PipelineModel:
     return model
 
 
+def label_of(model: PipelineModel) -> str:
+    return require_fitted(model).stages[-1].getLabelCol()
+
+
+def _with_label(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """The column steps carry the label through; at prediction time it is unknown."""
+    label = label_of(model)
+    if label in df.columns:
+        return df
+    return df.withColumn(label, F.lit(None).cast("double"))
+
+
 def transform_until_last(model: PipelineModel, df: DataFrame) -> DataFrame:
     """The output of every step but the regressor (named columns)."""
-    return PipelineModel(stages=require_fitted(model).stages[:-2]).transform(df)
+    return PipelineModel(stages=require_fitted(model).stages[:-2]).transform(_with_label(model, df))
 
 
 def score(model: PipelineModel, df: DataFrame, label: str = "target") -> float:
@@ -204,5 +217,5 @@ def score(model: PipelineModel, df: DataFrame, label: str = "target") -> float:
 
 def predict(model: PipelineModel, df: DataFrame, keys: Sequence[str] = ("id", "date")) -> DataFrame:
     """identifiers and prediction, lazily; nothing goes to the driver."""
-    out = require_fitted(model).transform(df)
+    out = require_fitted(model).transform(_with_label(model, df))
     return out.select(*[f"`{k}`" for k in keys], PREDICTION)

@@ -14,9 +14,8 @@ from datetime import date, datetime, timezone
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from ..session import shared_dir
+from ..session import path_exists, shared_dir
 
 RUNS_SCHEMA = (
     "run_id string, parent_run_id string, run_name string, description string, env string, "
@@ -39,10 +38,10 @@ class RunStore:
 
     # tables -----------------------------------------------------------------
     def _read(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException:
+        path = f"{self.root}/{name}"
+        if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
     def runs(self) -> DataFrame:
         return self._read("runs", RUNS_SCHEMA)
@@ -51,8 +50,10 @@ class RunStore:
         return self._read("model_versions", VERSIONS_SCHEMA)
 
     def _append(self, name: str, row: tuple, schema: str) -> None:
-        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/{name}"
+        # One folder per record: concurrent runs of a sweep never share a
+        # job's temporary folder, and a record is visible only once complete.
+        self.spark.createDataFrame([row], schema).coalesce(1).write.parquet(
+            f"{self.root}/{name}/{uuid.uuid4().hex}"
         )
 
     # R1 / R5 ----------------------------------------------------------------

@@ -18,11 +18,10 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.assemble import assemble
 from ..operators.model import DataModel, ValidationError, _message, coerced, report
-from ..session import shared_dir
+from ..session import path_exists, shared_dir
 from ..sources.params import SqlParams
 
 TTL = timedelta(hours=6)
@@ -61,10 +60,11 @@ class SnapshotCache:
         return f"{self.root}/manifest"
 
     def _entries(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest)
-        except AnalysisException:
+        if not path_exists(self.spark, self.manifest):
             return None
+        return self.spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").parquet(
+            self.manifest
+        )
 
     def lookup(self, key: str) -> str | None:
         entries = self._entries()
@@ -89,7 +89,8 @@ class SnapshotCache:
     def publish(self, key: str, path: str, kind: str = "snapshot") -> None:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         row = self.spark.createDataFrame([(key, path, kind, now)], MANIFEST_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(self.manifest)
+        # One folder per entry, so concurrent publishers never collide.
+        row.coalesce(1).write.parquet(f"{self.manifest}/{uuid.uuid4().hex}")
 
     def clear(self) -> None:
         """Invalidate every snapshot published so far (append-only)."""

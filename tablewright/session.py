@@ -92,3 +92,11 @@ def _join(root: str, *parts: str) -> str:
     for part in parts:
         out = f"{out}/{part.strip('/')}"
     return out
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on any Hadoop-compatible file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
