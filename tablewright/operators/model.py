@@ -56,6 +56,7 @@ class Field:
     lt: float | None = None
     levels: tuple[str, ...] | None = None
     on_unknown: str = "error"
+    coerce: bool | None = None  # None: the model's ``_coerce``
 
     def __post_init__(self):
         spark_type(self.dtype)
@@ -193,7 +194,7 @@ def _prepare(df: DataFrame, model: type[DataModel]) -> _Prepared:
             continue
         src = types[name]
         col = F.col(_q(_raw(name)))
-        if model._coerce:
+        if fld.coerce if fld.coerce is not None else model._coerce:
             values[name], ok[name] = coerce(
                 col, src, fld.dtype, levels=fld.levels, on_unknown=fld.on_unknown
             )
@@ -255,7 +256,7 @@ def _row_specs(prep: _Prepared, model: type[DataModel]) -> list[_Spec]:
         if name not in prep.declared:
             continue
         v = F.col(_q(name))
-        if model._coerce:
+        if name not in prep.wrong_type and (fld.coerce if fld.coerce is not None else model._coerce):
             specs.append(_Spec(f"coerce_dtype('{DISPLAY_NAMES[fld.dtype]}')", name, fails=~prep.ok[name]))
         if not fld.nullable:
             specs.append(_Spec("not_nullable", name, fails=v.isNull()))
