@@ -94,6 +94,8 @@ def coerce(
     """
     target = spark_type(dtype)
     x = nan_to_null(col, source)
+    if source == target and dtype not in ("uint32", "uint64", "category"):
+        return x, F.lit(True)  # already the declared type: nothing to convert
 
     if dtype in _INT_RANGES:
         lo, hi = _INT_RANGES[dtype]

@@ -74,12 +74,25 @@ def panel(spark: SparkSession, sf_dir: str, params=None) -> DataFrame:
     return panel_assembly(spark, sf_dir, params).panel
 
 
+def raw_panel(spark: SparkSession, sf_dir: str, params=None) -> DataFrame:
+    """The validated panel read from its snapshot (built once, then reused)."""
+    from .snapshot import fetch_data
+
+    register_events(spark, sf_dir)
+    return fetch_data(spark, params or PARAMS, panel_queries(), data_model=EventPanelRaw)
+
+
 def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validated, ML-typed panel rows with a known target (no action beyond the report)."""
+    """ML-typed panel rows with a known target, over the snapshot.
+
+    Fitting scans its input several times (means, levels, trees); reading a
+    written snapshot instead of re-running the joins keeps each scan cheap and
+    cuts the lineage, so a lost executor never recomputes the assembly.
+    """
     from ..operators.process import process_frame
 
     return process_frame(
-        panel(spark, sf_dir),
+        raw_panel(spark, sf_dir),
         data_model=EventPanelProcessed,
         filters=[F.col(TARGET).isNotNull()],
     )

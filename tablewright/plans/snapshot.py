@@ -34,9 +34,19 @@ def write_parquet(df: DataFrame, path: str, *, mode: str = "errorifexists") -> s
     return path
 
 
-def snapshot_key(params: SqlParams, queries: Mapping[str, str], model: type[DataModel]) -> str:
-    """Hash of everything the table depends on (the connection excluded)."""
+def snapshot_key(
+    params: SqlParams,
+    queries: Mapping[str, str],
+    model: type[DataModel],
+    sources: list[str] | None = None,
+) -> str:
+    """Hash of everything the table depends on.
+
+    ``sources`` are the files the plan reads (from the planner's file listing,
+    no job): the same SQL over other data must never hit this snapshot.
+    """
     payload = {
+        "sources": sorted(sources or []),
         "params": {k: repr(v) for k, v in sorted(dict(params or {}).items())},
         "queries": sorted(queries.items()),
         "model": f"{model.__module__}.{model.__qualname__}",
@@ -114,13 +124,13 @@ def fetch_data(
     snapshot is never published.
     """
     cache = cache or SnapshotCache(spark)
-    key = snapshot_key(params, queries, data_model)
+    asm = assemble(spark, queries, params, null_safe=null_safe)
+    key = snapshot_key(params, queries, data_model, asm.panel.inputFiles())
     if use_cache:
         hit = cache.lookup(key)
         if hit:
             return coerced(spark.read.parquet(hit), data_model)
 
-    asm = assemble(spark, queries, params, null_safe=null_safe)
     path = cache.new_path(key)
     write_parquet(asm.panel, path)
     asm.raise_if_not_unique()
