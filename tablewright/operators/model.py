@@ -317,66 +317,153 @@ def _unique_sets(prep: _Prepared, model: type[DataModel]) -> dict[str, list[str]
     return {k: v for k, v in sets.items() if all(c in prep.declared for c in v)}
 
 
-def report(df: DataFrame, model: type[DataModel], *, skip: Sequence[str] = ()) -> DataFrame:
-    """One row per check -- ``check, column, failed_rows, total_rows, passed``.
+def _check_plan(prep: _Prepared, model: type[DataModel], skip: Sequence[str]):
+    """Aggregates for every scalar check and how each report row reads them.
 
-    Lazy. When executed, every scalar check comes from one aggregate over the
-    coerced values and every uniqueness check from one grouped count; nothing
-    but the report rows reaches the driver.
+    Returns ``(aggs, entries)``; an entry is ``(spec, failed_key, passed_key)``
+    where a key names an aggregate (None: no value / statically failed).
     """
-    prep = _prepare(df, model)
-    values = prep.checked
     specs = _row_specs(prep, model) + _table_specs(prep, model) + _custom_specs(model)
     specs = [s for s in specs if s.check not in skip]
-
     aggs = [F.count(F.lit(1)).alias("__n")]
     entries = []
     for i, s in enumerate(specs):
         if s.static_fail:
-            entries.append((s, F.lit(None).cast("bigint"), F.lit(False)))
+            entries.append((s, None, None))
         elif s.fails is not None:
             aggs.append(F.count_if(s.fails).alias(f"__c{i}"))
-            entries.append((s, F.col(f"__c{i}"), F.col(f"__c{i}") == 0))
+            entries.append((s, f"__c{i}", None))
         else:
             aggs.append(s.passed.alias(f"__p{i}"))
-            entries.append((s, F.lit(None).cast("bigint"), F.col(f"__p{i}")))
+            entries.append((s, None, f"__p{i}"))
+    return aggs, entries
+
+
+def _unique_frame(values: DataFrame, name: str, cols: Sequence[str]) -> DataFrame:
+    """One report row for a uniqueness set: a partial grouped count, then a sum."""
+    return (
+        values.groupBy(*[_q(c) for c in cols])
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(
+            F.coalesce(F.sum(F.when(F.col("rows") > 1, F.col("rows"))), F.lit(0)).alias("failed_rows"),
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
+        )
+        .select(
+            F.lit(name).alias("check"),
+            F.lit(",".join(cols)).alias("column"),
+            F.col("failed_rows").cast("bigint").alias("failed_rows"),
+            F.col("total_rows").cast("bigint").alias("total_rows"),
+            (F.col("failed_rows") == 0).alias("passed"),
+        )
+    )
+
+
+def report(df: DataFrame, model: type[DataModel], *, skip: Sequence[str] = ()) -> DataFrame:
+    """One row per check -- ``check, column, failed_rows, total_rows, passed``.
+
+    Lazy. When executed, every scalar check comes from one aggregate over the
+    coerced values and every uniqueness check from one grouped count; nothing
+    but the report rows reaches the driver.
+    """
+    prep = _prepare(df, model)
+    values = prep.checked
+    aggs, entries = _check_plan(prep, model, skip)
     summary = values.agg(*aggs)
+
+    def failed(key):
+        return F.col(key) if key else F.lit(None).cast("bigint")
+
+    def passed(fkey, pkey):
+        if fkey:
+            return F.col(fkey) == 0
+        return F.col(pkey) if pkey else F.lit(False)
+
     rows = F.array(
         *[
             F.struct(
                 F.lit(s.check).alias("check"),
                 F.lit(s.column).cast("string").alias("column"),
-                failed.alias("failed_rows"),
+                failed(fkey).alias("failed_rows"),
                 F.col("__n").alias("total_rows"),
-                passed.alias("passed"),
+                passed(fkey, pkey).alias("passed"),
             )
-            for s, failed, passed in entries
+            for s, fkey, pkey in entries
         ]
     )
     out = summary.select(F.inline(rows))
-
     for name, cols in _unique_sets(prep, model).items():
-        if name in skip:
-            continue
-        dup = (
-            values.groupBy(*[_q(c) for c in cols])
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .agg(
-                F.coalesce(F.sum(F.when(F.col("rows") > 1, F.col("rows"))), F.lit(0)).alias("failed_rows"),
-                F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
-            )
-            .select(
-                F.lit(name).alias("check"),
-                F.lit(",".join(cols)).alias("column"),
-                F.col("failed_rows").cast("bigint").alias("failed_rows"),
-                F.col("total_rows").cast("bigint").alias("total_rows"),
-                (F.col("failed_rows") == 0).alias("passed"),
-            )
-        )
-        out = out.unionByName(dup)
+        if name not in skip:
+            out = out.unionByName(_unique_frame(values, name, cols))
     return out
 
 
+@dataclass
+class ObservedChecks:
+    """A coerced frame whose scalar checks are collected while it is written.
+
+    ``frame`` is the coerced table with an ``Observation`` attached; after an
+    action on it, :meth:`rows` gives the report rows of every scalar check.
+    ``static`` are schema failures known without data; ``unique`` are the
+    uniqueness sets still to be checked (each needs its own grouped count).
+    """
+
+    frame: DataFrame
+    observation: Any
+    entries: list
+    static: list[dict]
+    unique: dict[str, list[str]]
+
+    def rows(self) -> list[dict]:
+        metrics = self.observation.get
+        n = metrics["__n"]
+        out = []
+        for s, fkey, pkey in self.entries:
+            if s.static_fail:
+                continue
+            failed = metrics[fkey] if fkey else None
+            ok = failed == 0 if fkey else bool(metrics[pkey])
+            out.append(dict(check=s.check, column=s.column, failed_rows=failed, total_rows=n, passed=ok))
+        return out
+
+
+def observe_checks(
+    df: DataFrame, model: type[DataModel], *, skip: Sequence[str] = ()
+) -> ObservedChecks:
+    """The coerced frame with all scalar checks as one observation (no job yet).
+
+    Writing the frame computes the checks in the same pass: one scan for the
+    data and the report instead of two.
+    """
+    from pyspark.sql import Observation
+
+    prep = _prepare(df, model)
+    aggs, entries = _check_plan(prep, model, skip)
+    obs = Observation(f"checks_{model.__name__}")
+    observed = prep.checked.observe(obs, *aggs)
+    frame = _coerced_frame(
+        _Prepared(prep.frame, observed, prep.ok, prep.declared, prep.missing, prep.wrong_type, prep.extra),
+        model,
+    )
+    static = [
+        dict(check=s.check, column=s.column, failed_rows=None, total_rows=None, passed=False)
+        for s, _, _ in entries
+        if s.static_fail
+    ]
+    unique = {k: v for k, v in _unique_sets(prep, model).items() if k not in skip}
+    return ObservedChecks(frame, obs, entries, static, unique)
+
+
+def unique_rows(df: DataFrame, sets: dict[str, list[str]]) -> list[dict]:
+    """Report rows of the given uniqueness sets over ``df`` (one action)."""
+    if not sets:
+        return []
+    frames = [_unique_frame(df, name, cols) for name, cols in sets.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return [r.asDict() for r in out.collect()]
+
+
 def _message(rows: list) -> str:
     lines = []
     for r in rows:

@@ -14,15 +14,19 @@ def process_frame(
     *,
     data_model: type[DataModel],
     filters: Sequence[Column] = (),
+    proven_unique: Sequence[str] = (),
 ) -> DataFrame:
     """P1 then validation: the rows that pass every filter, checked and converted.
 
     Filters may only drop rows (no imputation); by default there are none.
+    ``proven_unique`` names uniqueness checks the input already passed (for
+    example a validated snapshot): dropping rows keeps keys unique, so those
+    grouped counts -- a shuffle of every key -- are not repeated.
     """
     kept = raw
     for cond in filters:
         kept = kept.where(cond)
-    return validate(kept, data_model)
+    return validate(kept, data_model, skip=proven_unique)
 
 
 def process_data(

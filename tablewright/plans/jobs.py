@@ -27,6 +27,12 @@ from .records import RunStore
 from .snapshot import SnapshotCache, fetch_data, write_parquet
 
 
+def _proven(raw_model: type[DataModel], processed_model: type[DataModel]) -> list[str]:
+    """Uniqueness checks of the processed model that the raw snapshot already passed."""
+    raw_sets = {tuple(sorted(v)) for v in raw_model._unique.values()}
+    return [n for n, cols in processed_model._unique.items() if tuple(sorted(cols)) in raw_sets]
+
+
 @dataclass
 class TrainResult:
     score: float
@@ -62,7 +68,10 @@ def train(
     )
     if filters is None:
         filters = [F.col(f"`{target}`").isNotNull()]
-    frame = process_frame(raw, data_model=processed_model, filters=filters)
+    # fetch_data proved the identifiers unique; filters only drop rows
+    frame = process_frame(
+        raw, data_model=processed_model, filters=filters, proven_unique=_proven(raw_model, processed_model)
+    )
 
     run_dir = shared_dir(spark, "runs", uuid.uuid4().hex)
     write_parquet(raw, f"{run_dir}/raw.parquet")
@@ -115,7 +124,7 @@ def predict(
     raw = fetch_data(
         spark, {"start_date": start, "end_date": end}, queries, data_model=raw_model, cache=cache
     )
-    frame = process_frame(raw, data_model=processed_model)
+    frame = process_frame(raw, data_model=processed_model, proven_unique=_proven(raw_model, processed_model))
     out = predict_rows(model, frame, keys)
     if output:
         write_parquet(out, output)

@@ -95,4 +95,5 @@ def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw_panel(spark, sf_dir),
         data_model=EventPanelProcessed,
         filters=[F.col(TARGET).isNotNull()],
+        proven_unique=list(EventPanelProcessed._unique),
     )

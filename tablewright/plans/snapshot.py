@@ -20,11 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.assemble import assemble
-from ..operators.model import DataModel, ValidationError, _message, coerced, report
-from ..session import path_exists, shared_dir
+from ..operators.conform import ml_conform
+from ..operators.model import DataModel, ValidationError, _message, observe_checks, unique_rows
+from ..session import list_names, path_exists, shared_dir
 from ..sources.params import SqlParams
 
 TTL = timedelta(hours=6)
+# Bumped whenever what a snapshot holds changes, so older ones are never reused.
+SNAPSHOT_FORMAT = 2
 MANIFEST_SCHEMA = "key string, path string, kind string, created_at timestamp"
 
 
@@ -46,6 +49,7 @@ def snapshot_key(
     no job): the same SQL over other data must never hit this snapshot.
     """
     payload = {
+        "format": SNAPSHOT_FORMAT,
         "sources": sorted(sources or []),
         "params": {k: repr(v) for k, v in sorted(dict(params or {}).items())},
         "queries": sorted(queries.items()),
@@ -58,7 +62,15 @@ def snapshot_key(
 
 
 class SnapshotCache:
-    """Snapshots under ``root/data/key=<k>/<run>`` and a manifest table."""
+    """Snapshots under ``root/data/key=<k>/<run>``, entries under ``root/manifest``.
+
+    A published snapshot is one folder ``manifest/key=<k>/<created_ms>_<run>``
+    (holding its manifest row for auditing); ``clear`` adds
+    ``manifest/clear/<created_ms>_<id>``. A lookup lists only the folder of its
+    own key and the clear markers -- metadata calls, no Spark job -- so it stays
+    cheap however many snapshots exist. Entries are never rewritten, so
+    concurrent publishers cannot collide.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None, ttl: timedelta = TTL):
         self.spark = spark
@@ -69,38 +81,48 @@ class SnapshotCache:
     def manifest(self) -> str:
         return f"{self.root}/manifest"
 
-    def _entries(self) -> DataFrame | None:
+    def entries(self) -> DataFrame | None:
+        """Every manifest row, for auditing (a Spark read of the manifest)."""
         if not path_exists(self.spark, self.manifest):
             return None
         return self.spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").parquet(
             self.manifest
         )
 
+    @staticmethod
+    def _stamps(names: list[str]) -> list[tuple[int, str]]:
+        out = []
+        for name in names:
+            stamp, _, run = name.partition("_")
+            if stamp.isdigit() and run:
+                out.append((int(stamp), run))
+        return out
+
     def lookup(self, key: str) -> str | None:
-        entries = self._entries()
-        if entries is None:
+        now_ms = int(datetime.now(timezone.utc).timestamp() * 1000)
+        cleared = max((t for t, _ in self._stamps(list_names(self.spark, f"{self.manifest}/clear"))), default=0)
+        fresh = [
+            (t, run)
+            for t, run in self._stamps(list_names(self.spark, f"{self.manifest}/key={key}"))
+            if t > cleared and now_ms - t < self.ttl.total_seconds() * 1000
+        ]
+        if not fresh:
             return None
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
-        cleared = entries.where(F.col("kind") == "clear").agg(F.max("created_at").alias("t"))
-        rows = (
-            entries.where((F.col("kind") == "snapshot") & (F.col("key") == key))
-            .where(F.col("created_at") > F.lit(now - self.ttl))
-            .crossJoin(cleared)
-            .where(F.col("t").isNull() | (F.col("created_at") > F.col("t")))
-            .orderBy(F.col("created_at").desc())
-            .limit(1)
-            .collect()
-        )
-        return rows[0].path if rows else None
+        return self.data_path(key, max(fresh)[1])
+
+    def data_path(self, key: str, run: str) -> str:
+        return f"{self.root}/data/key={key}/{run}"
 
     def new_path(self, key: str) -> str:
-        return f"{self.root}/data/key={key}/{uuid.uuid4().hex}"
+        return self.data_path(key, uuid.uuid4().hex)
 
     def publish(self, key: str, path: str, kind: str = "snapshot") -> None:
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
-        row = self.spark.createDataFrame([(key, path, kind, now)], MANIFEST_SCHEMA)
-        # One folder per entry, so concurrent publishers never collide.
-        row.coalesce(1).write.parquet(f"{self.manifest}/{uuid.uuid4().hex}")
+        now = datetime.now(timezone.utc)
+        stamp = int(now.timestamp() * 1000)
+        run = path.rstrip("/").rsplit("/", 1)[-1] if path else uuid.uuid4().hex
+        folder = f"{self.manifest}/clear" if kind == "clear" else f"{self.manifest}/key={key}"
+        row = self.spark.createDataFrame([(key, path, kind, now.replace(tzinfo=None))], MANIFEST_SCHEMA)
+        row.coalesce(1).write.parquet(f"{folder}/{stamp}_{run}")
 
     def clear(self) -> None:
         """Invalidate every snapshot published so far (append-only)."""
@@ -117,11 +139,16 @@ def fetch_data(
     use_cache: bool = True,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Assemble, snapshot and validate; returns the coerced table.
-
-    Jobs: one write (joins + one-to-one observation), one report over the
-    written Parquet. Raises ``NotUniqueError`` or ``ValidationError``; a failed
-    snapshot is never published.
+    """Assemble, check and snapshot in one pass; returns the typed table.
+
+    Schema failures (missing columns, wrong types) raise before any job. Then
+    one write computes the joins, the coerced values, the one-to-one check and
+    every scalar check of the model (observations). Uniqueness of the
+    identifiers follows from the one-to-one join; other uniqueness sets take
+    one grouped count over the written snapshot. Raises ``NotUniqueError`` or
+    ``ValidationError``; a failed snapshot is never published. The snapshot
+    holds the declared types, so readers get plain columns and their filters
+    reach the Parquet scan.
     """
     cache = cache or SnapshotCache(spark)
     asm = assemble(spark, queries, params, null_safe=null_safe)
@@ -129,19 +156,33 @@ def fetch_data(
     if use_cache:
         hit = cache.lookup(key)
         if hit:
-            return coerced(spark.read.parquet(hit), data_model)
+            return _read_snapshot(spark, hit, data_model)
+
+    proven = [n for n, cols in data_model._unique.items() if sorted(cols) == sorted(asm.identifiers)]
+    checks = observe_checks(asm.panel, _declared(data_model), skip=proven)
+    if checks.static:
+        raise ValidationError(_message(checks.static), checks.static)
 
     path = cache.new_path(key)
-    write_parquet(asm.panel, path)
+    write_parquet(checks.frame, path)
     asm.raise_if_not_unique()
-
-    staged = spark.read.parquet(path)
-    # The index is unique and every join is one-to-one, so uniqueness of the
-    # identifiers is already proven; skip re-checking exactly that set.
-    skip = [n for n, cols in data_model._unique.items() if sorted(cols) == sorted(asm.identifiers)]
-    rows = [r.asDict() for r in report(staged, data_model, skip=skip).collect()]
+    rows = checks.rows() + unique_rows(spark.read.parquet(path), checks.unique)
     failed = [r for r in rows if not r["passed"]]
     if failed:
         raise ValidationError(_message(failed), failed)
     cache.publish(key, path)
-    return coerced(staged, data_model)
+    return _read_snapshot(spark, path, data_model)
+
+
+def _declared(model: type[DataModel]) -> type[DataModel]:
+    """The model without the ML conversion: snapshots keep the declared types."""
+    if not model._ml_conform:
+        return model
+    return type(model.__name__, (model,), {"_ml_conform": False})
+
+
+def _read_snapshot(spark: SparkSession, path: str, model: type[DataModel]) -> DataFrame:
+    df = spark.read.parquet(path)
+    if model._ml_conform:
+        df = ml_conform(df, levels=model.category_levels(), keep=model._ml_keep)
+    return df
