@@ -185,6 +185,11 @@ def spread(df: DataFrame) -> DataFrame:
     seeded forest) is deterministic.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan:
+        # already shuffled (shuffle-partition parallelism); asking its RDD for
+        # the partition count would run the shuffle stages under AQE
+        return df
     if df._jdf.rdd().getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
