@@ -116,3 +116,11 @@ def test_records_champion_and_sweep(spark, panel, tmp_path):
     assert results.count() == 2
     best = store.best_child(parent).collect()[0]
     assert best.runs == 2 and best.run_id is not None
+
+
+def test_seeded_forest_is_reproducible(spark, panel):
+    pipe = lambda: make_model("prod", selected=["spend", "clicks", "err"],
+                              regressor=random_forest(num_trees=8, max_depth=4))
+    a = predict(fit(pipe(), panel), panel).orderBy("id", "date").collect()
+    b = predict(fit(pipe(), panel), panel).orderBy("id", "date").collect()
+    assert a == b
