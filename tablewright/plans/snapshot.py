@@ -17,7 +17,6 @@ from collections.abc import Mapping
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.assemble import assemble
 from ..operators.conform import ml_conform

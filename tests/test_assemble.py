@@ -3,7 +3,6 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from tablewright.operators.assemble import ColumnOverlapError, NotUniqueError, assemble
 from tablewright.operators.model import DataModel, Field, ValidationError
@@ -143,10 +142,7 @@ def test_snapshot_is_reused_within_ttl(db, tmp_path):
 
 def test_one_to_one_check_adds_no_exchange_to_grouped_frames(spark):
     spark.range(100).selectExpr("id % 10 AS k", "id AS v").createOrReplaceTempView("g_src")
-    asm = assemble(spark, {"index": "SELECT DISTINCT k FROM g_src",
-                           "f": "SELECT k, sum(v) AS s FROM g_src GROUP BY k"})
-    plan = asm.panel._jdf.queryExecution().executedPlan().toString()
-    # one exchange per input (the two GROUP BYs), none for the checks or the join
+    # the large-data path: sort-merge joins, no broadcast
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = assemble(spark, {"index": "SELECT DISTINCT k FROM g_src",
@@ -154,4 +150,5 @@ def test_one_to_one_check_adds_no_exchange_to_grouped_frames(spark):
             .panel._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one exchange per input (the two GROUP BYs), none for the checks or the join
     assert plan.count("Exchange hashpartitioning") == 2
