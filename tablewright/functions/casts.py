@@ -111,7 +111,12 @@ def coerce(
             ok = F.lit(True)
         else:
             whole = num == F.floor(num) if not isinstance(source, _INTEGRAL) else F.lit(True)
-            in_range = (num >= F.lit(Decimal(lo))) & (num <= F.lit(Decimal(hi)))
+            if isinstance(source, _FRACTIONAL):
+                # compare as doubles against the exclusive bound hi + 1 (a power
+                # of two, exact in a double); hi itself would round up to it
+                in_range = (num >= F.lit(float(lo))) & (num < F.lit(float(hi + 1)))
+            else:
+                in_range = (num >= F.lit(Decimal(lo))) & (num <= F.lit(Decimal(hi)))
             ok = whole & in_range
         ok = x.isNull() | F.coalesce(ok, F.lit(False))
         value = F.when(ok & x.isNotNull(), num.try_cast(target))

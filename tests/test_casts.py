@@ -81,3 +81,12 @@ def test_integers_to_boolean(spark, values):
     got = _run(spark, values, T.LongType(), "boolean")
     for i, x in enumerate(values):
         assert got[i] == ((True, x == 1) if x in (0, 1) else (False, None)), (x, got[i])
+
+
+def test_integer_bounds_of_doubles(spark):
+    values = [2.0**63, -(2.0**63), 2.0**62, 4294967295.0, 4294967296.0, -1.0]
+    big = _run(spark, values, T.DoubleType(), "bigint")
+    assert [big[i] for i in range(6)] == [(False, None), (True, -(2**63)), (True, 2**62),
+                                          (True, 4294967295), (True, 4294967296), (True, -1)]
+    small = _run(spark, values, T.DoubleType(), "uint32")
+    assert [small[i][0] for i in range(6)] == [False, False, False, True, False, False]
