@@ -35,6 +35,7 @@ def process_data(
     *,
     data_model: type[DataModel],
     filters: Sequence[Column] = (),
+    proven_unique: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """``(X, y)``, the validated frame without and with only the target.
 
@@ -42,7 +43,7 @@ def process_data(
     the trainer therefore works on :func:`process_frame`'s single frame and
     this split exists for callers that need the reference's shape.
     """
-    frame = process_frame(raw, data_model=data_model, filters=filters)
+    frame = process_frame(raw, data_model=data_model, filters=filters, proven_unique=proven_unique)
     if target_column not in frame.columns:
         raise KeyError(target_column)
     return frame.drop(target_column), frame.select(target_column)
