@@ -195,12 +195,26 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
+def _iterative(pipeline: Pipeline) -> bool:
+    """Whether the regressor makes many passes (trees, L-BFGS) -- worth spreading for.
+
+    The normal-equation solve is a single aggregate, where a repartition would
+    only add a shuffle.
+    """
+    stages = pipeline.getStages()
+    last = stages[-1] if stages else None
+    est = getattr(last, "estimator", None)
+    if isinstance(est, LinearRegression):
+        return est.getSolver() == "l-bfgs"
+    return est is not None
+
+
 def fit(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
     """Fit and flatten into one ``PipelineModel`` of Java stages.
 
     The last two stages are always the vector assembler and the regressor.
     """
-    fitted = pipeline.fit(spread(df))
+    fitted = pipeline.fit(spread(df) if _iterative(pipeline) else df)
     flat = []
     for stage in fitted.stages:
         flat.extend(stage.stages if isinstance(stage, PipelineModel) else [stage])
