@@ -44,16 +44,23 @@ def split_stream(
     """Write passing rows to ``accepted_path`` and failing rows, with the
     names of the checks they fail, to ``quarantine_path``.
 
-    One ``foreachBatch`` writes both outputs; the checkpoint makes the split
-    restartable after a failure.
+    One ``foreachBatch`` writes both outputs. Each micro-batch goes to its own
+    ``batch=<id>`` folder, overwritten if the batch is replayed after a
+    failure, so together with the checkpoint every row lands exactly once.
     """
     tagged = tag_failures(df, model)
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.where(F.size("failed_checks") == 0).drop("failed_checks").write.mode("append").parquet(
-            accepted_path
-        )
-        batch.where(F.size("failed_checks") > 0).write.mode("append").parquet(quarantine_path)
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        try:
+            batch.where(F.size("failed_checks") == 0).drop("failed_checks").write.mode(
+                "overwrite"
+            ).parquet(f"{accepted_path}/batch={epoch}")
+            batch.where(F.size("failed_checks") > 0).write.mode("overwrite").parquet(
+                f"{quarantine_path}/batch={epoch}"
+            )
+        finally:
+            batch.unpersist()
 
     writer = tagged.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path)
     if trigger_once:
