@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.dates import parse_date_columns
 from ..sources.params import SqlParams, run_sql
@@ -170,9 +171,13 @@ def assemble_frames(
 
 def _keyed(df: DataFrame, ids: list[str], name: str) -> tuple[DataFrame, Observation]:
     """Group ``df`` by the identifiers, counting rows, and observe the count."""
+    types = {f.name: f.dataType for f in df.schema.fields}
     values = [c for c in df.columns if c not in ids]
+    # max is order-irrelevant, so Catalyst drops a query's ORDER BY below this
+    # aggregate (a join discards order anyway); for a 1:1 group it is the value.
     grouped = df.groupBy(*[_q(c) for c in ids]).agg(
-        F.count(F.lit(1)).alias(ROWS), *[F.any_value(_q(c)).alias(c) for c in values]
+        F.count(F.lit(1)).alias(ROWS),
+        *[(F.max if _orderable(types[c]) else F.any_value)(_q(c)).alias(c) for c in values],
     )
     obs = Observation(f"one_to_one_{name}")
     grouped = grouped.observe(
@@ -183,6 +188,16 @@ def _keyed(df: DataFrame, ids: list[str], name: str) -> tuple[DataFrame, Observa
     return grouped.select(*[_q(c) for c in df.columns]), obs
 
 
+def _orderable(dt: T.DataType) -> bool:
+    if isinstance(dt, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    return True
+
+
 def _left_join(left: DataFrame, right: DataFrame, ids: list[str], null_safe: bool) -> DataFrame:
     if not null_safe:
         return left.join(right, on=ids, how="left")

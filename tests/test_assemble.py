@@ -152,3 +152,14 @@ def test_one_to_one_check_adds_no_exchange_to_grouped_frames(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # one exchange per input (the two GROUP BYs), none for the checks or the join
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_order_by_in_a_feature_query_adds_no_sort_shuffle(spark):
+    from tablewright.plans import panel as P
+    from .conftest import SF001
+
+    P.register_events(spark, SF001)
+    queries = P.panel_queries()
+    queries["target"] = queries["target"].rstrip() + "\norder by id, `date`"
+    plan = assemble(spark, queries, P.PARAMS).panel._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
