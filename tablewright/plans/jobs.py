@@ -1,7 +1,8 @@
 """F12, F18-F20 and the train / predict jobs.
 
 ``train``: window -> ``fetch_data`` (snapshot, validation) -> process (P1, ML
-types) -> write the raw table (S8) -> fit -> score -> log the run (R1) ->
+types) -> keep the raw table (its snapshot location, or a copy: S8) -> fit ->
+score -> log the run (R1) ->
 register the model and make it champion (R2/R3) -> in ``dev`` also write the
 transformed features (S9). ``predict``: window -> fetch -> process -> champion
 -> predictions written or returned as a lazy frame keyed by the identifiers.
@@ -27,6 +28,20 @@ from .records import RunStore
 from .snapshot import SnapshotCache, fetch_data, write_parquet
 
 
+def _keep_raw(raw: DataFrame, run_dir: str, copy_raw: bool) -> str:
+    """Where the run's raw table lives.
+
+    The fetched table already is a Parquet (zstd) snapshot that is never
+    deleted, so by default the run records its location instead of writing a
+    second copy of the whole table; ``copy_raw=True`` writes ``raw.parquet``
+    into the run folder as the reference does.
+    """
+    if copy_raw:
+        return write_parquet(raw, f"{run_dir}/raw.parquet")
+    files = raw.inputFiles()
+    return files[0].rsplit("/", 1)[0] if files else ""
+
+
 def _proven(raw_model: type[DataModel], processed_model: type[DataModel]) -> list[str]:
     """Uniqueness checks of the processed model that the raw snapshot already passed."""
     raw_sets = {tuple(sorted(v)) for v in raw_model._unique.values()}
@@ -61,6 +76,7 @@ def train(
     store: RunStore | None = None,
     cache: SnapshotCache | None = None,
     parent_run_id: str | None = None,
+    copy_raw: bool = False,
 ) -> TrainResult:
     start, end = training_window(training_cutoff, num_samples)
     raw = fetch_data(
@@ -74,13 +90,14 @@ def train(
     )
 
     run_dir = shared_dir(spark, "runs", uuid.uuid4().hex)
-    write_parquet(raw, f"{run_dir}/raw.parquet")
+    raw_location = _keep_raw(raw, run_dir, copy_raw)
 
     model = fit(pipeline, frame)
     score = score_model(model, frame, target)
 
     store = store or RunStore(spark)
-    run_params = {"start_date": start, "end_date": end, "num_samples": num_samples, **dict(params or {})}
+    run_params = {"start_date": start, "end_date": end, "num_samples": num_samples,
+                  "raw_data": raw_location, **dict(params or {})}
     run_id = store.log_run(
         run_name=run_name or f"train_{end.isoformat()}",
         description=run_description,
@@ -114,6 +131,7 @@ def predict(
     store: RunStore | None = None,
     cache: SnapshotCache | None = None,
     output: str | None = None,
+    copy_raw_to: str | None = None,
 ) -> DataFrame:
     """Predictions for the window; the model defaults to the champion."""
     start, end = prediction_window(start_date, num_samples)
@@ -124,6 +142,8 @@ def predict(
     raw = fetch_data(
         spark, {"start_date": start, "end_date": end}, queries, data_model=raw_model, cache=cache
     )
+    if copy_raw_to:
+        write_parquet(raw, copy_raw_to)
     frame = process_frame(raw, data_model=processed_model, proven_unique=_proven(raw_model, processed_model))
     out = predict_rows(model, frame, keys)
     if output:

@@ -124,3 +124,33 @@ def test_seeded_forest_is_reproducible(spark, panel):
     a = predict(fit(pipe(), panel), panel).orderBy("id", "date").collect()
     b = predict(fit(pipe(), panel), panel).orderBy("id", "date").collect()
     assert a == b
+
+
+def test_train_and_predict_end_to_end(spark, tmp_path):
+    from tablewright.plans import panel as P
+    from tablewright.plans.jobs import predict as predict_job, train
+    from tablewright.plans.snapshot import SnapshotCache
+    from tablewright.session import path_exists
+
+    from .conftest import SF001
+
+    P.register_events(spark, SF001)
+    store = RunStore(spark, str(tmp_path / "rec"))
+    cache = SnapshotCache(spark, str(tmp_path / "snap"))
+    pipe = make_model("prod", selected=["spend", "clicks", "err"], regressor=random_forest(num_trees=5, max_depth=4))
+    result = train(spark, queries=P.panel_queries(), raw_model=P.EventPanelRaw,
+                   processed_model=P.EventPanelProcessed, pipeline=pipe, training_cutoff=P.END,
+                   num_samples=30, register_model="e2e", store=store, cache=cache, copy_raw=True)
+    run = store.runs().where(F.col("run_id") == result.run_id).collect()[0]
+    assert run.params["raw_data"].endswith("raw.parquet") and path_exists(spark, run.params["raw_data"])
+    assert result.version == 1 and 0.0 <= result.score <= 1.0
+    queries = {k: v for k, v in P.panel_queries().items() if k != "target"}
+    out = predict_job(spark, queries=queries, raw_model=P.EventPanelInputs, processed_model=P.EventPanelPredict,
+                      model_name="e2e", start_date=P.START, num_samples=30, store=store, cache=cache)
+    assert out.columns == ["id", "date", "prediction"]
+    assert out.count() == spark.sql("select count(distinct user_id) * 30 from events").collect()[0][0]
+    again = train(spark, queries=P.panel_queries(), raw_model=P.EventPanelRaw,
+                  processed_model=P.EventPanelProcessed, pipeline=pipe, training_cutoff=P.END,
+                  num_samples=30, store=store, cache=cache)
+    pointer = store.runs().where(F.col("run_id") == again.run_id).collect()[0].params["raw_data"]
+    assert "/data/key=" in pointer and path_exists(spark, pointer)
