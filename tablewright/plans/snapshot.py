@@ -41,6 +41,7 @@ def snapshot_key(
     queries: Mapping[str, str],
     model: type[DataModel],
     sources: list[str] | None = None,
+    null_safe: bool = False,
 ) -> str:
     """Hash of everything the table depends on.
 
@@ -49,6 +50,7 @@ def snapshot_key(
     """
     payload = {
         "format": SNAPSHOT_FORMAT,
+        "null_safe": bool(null_safe),
         "sources": sorted(sources or []),
         "params": {k: repr(v) for k, v in sorted(dict(params or {}).items())},
         "queries": sorted(queries.items()),
@@ -136,10 +138,13 @@ def fetch_data(
     data_model: type[DataModel],
     cache: SnapshotCache | None = None,
     use_cache: bool = True,
-    null_safe: bool = False,
+    null_safe: bool | None = None,
 ) -> DataFrame:
     """Assemble, check and snapshot in one pass; returns the typed table.
 
+    ``null_safe=None`` joins null-safely only if an identifier may be null
+    under ``data_model``.
+
     Schema failures (missing columns, wrong types) raise before any job. Then
     one write computes the joins, the coerced values, the one-to-one check and
     every scalar check of the model (observations). Uniqueness of the
@@ -150,8 +155,10 @@ def fetch_data(
     reach the Parquet scan.
     """
     cache = cache or SnapshotCache(spark)
+    if null_safe is None:
+        null_safe = _ids_may_be_null(spark, queries, params, data_model)
     asm = assemble(spark, queries, params, null_safe=null_safe)
-    key = snapshot_key(params, queries, data_model, asm.panel.inputFiles())
+    key = snapshot_key(params, queries, data_model, asm.panel.inputFiles(), null_safe)
     if use_cache:
         hit = cache.lookup(key)
         if hit:
@@ -173,6 +180,21 @@ def fetch_data(
     return _read_snapshot(spark, path, data_model)
 
 
+def _ids_may_be_null(spark, queries, params, model: type[DataModel]) -> bool:
+    """Null-safe joins only when an identifier may be null under the model.
+
+    When every identifier is declared non-null a null one fails the checks
+    anyway, and a plain ``=`` keeps grouped feature frames partitioned.
+    """
+    if "index" not in queries:
+        raise KeyError("index")
+    from ..sources.params import run_sql
+
+    ids = run_sql(spark, queries["index"], params).columns
+    fields = model.fields()
+    return any(c not in fields or fields[c].nullable for c in ids)
+
+
 def _declared(model: type[DataModel]) -> type[DataModel]:
     """The model without the ML conversion: snapshots keep the declared types."""
     if not model._ml_conform:
