@@ -2,7 +2,8 @@
 
 A :class:`ColumnTransformer` applies named transformers to column subsets and
 passes or drops the rest, like the reference's pre-processing steps. Fitting
-runs at most one small aggregate per transformer (means, level lists); the
+a step runs one aggregate for all its statistics (means, null flags), plus a
+bounded distinct only for categories without declared levels; the
 fitted result is a single ``SELECT`` over the input, so applying it is a plain
 projection inside whole-stage codegen -- no Python runs per row.
 """
@@ -100,14 +101,27 @@ def resolve(spec: ColumnSpec, schema: T.StructType) -> list[str]:
 
 
 class Transformer:
-    """Fit on a frame and a column list; return ``[(sql_expression, name)]``."""
+    """A per-column transform fitted into SQL expressions.
 
-    def fit(self, df: DataFrame, columns: list[str]) -> list[tuple[str, str]]:
+    ``stats`` names the aggregates the fit needs (``{name: Column}``; a step
+    computes those of all its transformers in one job); ``build`` turns their
+    values into ``[(sql_expression, output_name)]``.
+    """
+
+    def stats(self, df: DataFrame, columns: list[str]) -> dict:
+        return {}
+
+    def build(self, df: DataFrame, columns: list[str], stats: dict) -> list[tuple[str, str]]:
         raise NotImplementedError
 
+    def fit(self, df: DataFrame, columns: list[str]) -> list[tuple[str, str]]:
+        aggs = self.stats(df, columns)
+        values = _aggregate(df, aggs)
+        return self.build(df, columns, values)
+
 
 class Passthrough(Transformer):
-    def fit(self, df, columns):
+    def build(self, df, columns, stats):
         return [(q(c), c) for c in columns]
 
 
@@ -117,22 +131,22 @@ class ImputeConstant(Transformer):
 
     fill_value: float = 0.0
 
-    def fit(self, df, columns):
+    def build(self, df, columns, stats):
         return [(f"coalesce({q(c)}, {sql_double(self.fill_value)})", c) for c in columns]
 
 
 @dataclass
 class Center(Transformer):
-    """subtract the mean (no scaling). One aggregate computes all means."""
+    """subtract the mean (no scaling)."""
+
+    def stats(self, df, columns):
+        return {f"mean:{c}": F.avg(F.col(q(c))) for c in columns}
 
-    def fit(self, df, columns):
-        if not columns:
-            return []
-        row = df.agg(*[F.avg(F.col(q(c))).alias(c) for c in columns]).collect()[0]
+    def build(self, df, columns, stats):
         out = []
         for c in columns:
-            mean = row[c] if row[c] is not None else 0.0
-            out.append((f"{q(c)} - {sql_double(mean)}", c))
+            mean = stats.get(f"mean:{c}")
+            out.append((f"{q(c)} - {sql_double(0.0 if mean is None else mean)}", c))
         return out
 
 
@@ -150,12 +164,10 @@ class OneHot(Transformer):
     max_levels: int = MAX_LEVELS
     levels: dict[str, list[str]] = field(default_factory=dict)
 
-    def fit(self, df, columns):
-        if not columns:
-            return []
-        has_null = df.agg(
-            *[F.max(F.col(q(c)).isNull()).alias(c) for c in columns]
-        ).collect()[0]
+    def stats(self, df, columns):
+        return {f"has_null:{c}": F.max(F.col(q(c)).isNull()) for c in columns}
+
+    def build(self, df, columns, stats):
         out = []
         for c in columns:
             levels = self.levels.get(c) or column_levels(df, c) or distinct_levels(df, c, self.max_levels)
@@ -172,7 +184,7 @@ class OneHot(Transformer):
                 out.append(
                     (f"CASE {check}WHEN {q(c)} = {sql_string(level)} THEN 1.0D ELSE 0.0D END", f"{c}_{level}")
                 )
-            if has_null[c]:
+            if stats.get(f"has_null:{c}"):
                 out.append((f"CASE WHEN {q(c)} IS NULL THEN 1.0D ELSE 0.0D END", f"{c}_nan"))
         return out
 
@@ -204,15 +216,23 @@ class ColumnTransformer:
         schema = T.StructType([f for f in df.schema.fields if f.name not in carry])
         used: list[str] = []
         exprs: list[tuple[str, str]] = [(q(c), c) for c in carry]
+        plan = []
         for name, transformer, spec in self.transformers:
             cols = resolve(spec, schema)
+            used.extend(cols)
+            if transformer == "drop":
+                continue
             if transformer == "passthrough":
                 transformer = Passthrough()
-            elif transformer == "drop":
-                used.extend(cols)
-                continue
-            exprs.extend(transformer.fit(df, cols))
-            used.extend(cols)
+            plan.append((f"{name}/", transformer, cols))
+        # every statistic of every transformer of this step: one aggregate, one job
+        wanted = {}
+        for prefix, t, cols in plan:
+            wanted.update({prefix + k: v for k, v in t.stats(df, cols).items()})
+        row = _aggregate(df, wanted)
+        for prefix, t, cols in plan:
+            values = {k[len(prefix):]: v for k, v in row.items() if k.startswith(prefix)}
+            exprs.extend(t.build(df, cols, values))
         if self.remainder == "passthrough":
             exprs.extend((q(c), c) for c in schema.names if c not in used)
         names = [n for _, n in exprs]
@@ -229,6 +249,15 @@ class ColumnTransformer:
         return df.selectExpr(*[f"{e} AS {q(n)}" for e, n in self.fit_select(df)])
 
 
+def _aggregate(df: DataFrame, aggs: dict) -> dict:
+    """Evaluate named aggregates in one job; returns ``{name: value}``."""
+    if not aggs:
+        return {}
+    names = list(aggs)
+    row = df.agg(*[aggs[n].alias(f"s{i}") for i, n in enumerate(names)]).collect()[0]
+    return {n: row[f"s{i}"] for i, n in enumerate(names)}
+
+
 def build_transformers(**specs: dict) -> list[tuple[str, Transformer | str, ColumnSpec]]:
     """F8 helper: ``name=dict(transformer=..., columns=...)`` to a list."""
     out = []
