@@ -65,9 +65,15 @@ def ml_conform(
 def distinct_levels(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) -> list[str]:
     """Sorted distinct non-null values of a column, at most ``max_levels``.
 
-    A grouped distinct (partial per partition) limited to ``max_levels + 1``
-    rows; only that bounded list reaches the driver.
+    A HyperLogLog estimate (fixed memory per task) first rejects columns far
+    above the bound, so a mistaken high-cardinality column never shuffles all
+    its values; then a grouped distinct (partial per partition) limited to
+    ``max_levels + 1`` rows gives the exact list. Only that bounded list
+    reaches the driver.
     """
+    estimate = df.agg(F.approx_count_distinct(F.col(f"`{column}`"), 0.05).alias("n")).collect()[0].n
+    if estimate > 1.2 * max_levels + 10:
+        raise TooManyLevelsError(f"column {column!r} has about {estimate} levels, more than {max_levels}")
     rows = (
         df.select(F.col(f"`{column}`").alias("v"))
         .where(F.col("v").isNotNull())

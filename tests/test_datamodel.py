@@ -245,3 +245,9 @@ def test_level_count_is_bounded(spark):
     assert len(distinct_levels(df, "s", 50)) == 50
     with pytest.raises(TooManyLevelsError):
         distinct_levels(df, "s", 10)
+
+
+def test_high_cardinality_is_rejected_by_the_estimate(spark):
+    df = spark.range(100_000).selectExpr("cast(id as string) as s")
+    with pytest.raises(TooManyLevelsError, match="about"):
+        distinct_levels(df, "s", 100)
