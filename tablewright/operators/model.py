@@ -366,6 +366,16 @@ def report(df: DataFrame, model: type[DataModel], *, skip: Sequence[str] = ()) -
     but the report rows reaches the driver.
     """
     prep = _prepare(df, model)
+    sets = {k: v for k, v in _unique_sets(prep, model).items() if k not in skip}
+    if len(sets) == 1 and not any(kind == "table" for kind, _, _ in model.checks()):
+        return _report_one_pass(prep, model, skip, sets)
+    return _report_two_pass(prep, model, skip, sets)
+
+
+def _report_two_pass(
+    prep: _Prepared, model: type[DataModel], skip: Sequence[str], sets: dict[str, list[str]]
+) -> DataFrame:
+    """One global aggregate plus one grouped count per uniqueness set."""
     values = prep.checked
     aggs, entries = _check_plan(prep, model, skip)
     summary = values.agg(*aggs)
@@ -391,12 +401,79 @@ def report(df: DataFrame, model: type[DataModel], *, skip: Sequence[str] = ()) -
         ]
     )
     out = summary.select(F.inline(rows))
-    for name, cols in _unique_sets(prep, model).items():
-        if name not in skip:
-            out = out.unionByName(_unique_frame(values, name, cols))
+    for name, cols in sets.items():
+        out = out.unionByName(_unique_frame(values, name, cols))
     return out
 
 
+def _report_one_pass(
+    prep: _Prepared, model: type[DataModel], skip: Sequence[str], sets: dict[str, list[str]]
+) -> DataFrame:
+    """The report in a single pass when there is one uniqueness set.
+
+    Every built-in check decomposes over groups: rows are grouped by the
+    uniqueness columns (partial aggregation per partition, so a hot key is
+    combined before the shuffle), each group keeps its row count and its check
+    counters, and a global aggregate sums them. The input is read once instead
+    of once per aggregate.
+    """
+    ((unique_name, unique_cols),) = sets.items()
+    specs = _row_specs(prep, model) + _table_specs(prep, model) + _custom_specs(model)
+    specs = [s for s in specs if s.check not in skip]
+    per_group = [F.count(F.lit(1)).alias("__rows")]
+    totals = [F.sum("__rows").alias("__n")]
+    n = F.col("__n")
+    entries = []
+    for i, s in enumerate(specs):
+        if s.static_fail:
+            entries.append((s, F.lit(None).cast("bigint"), F.lit(False)))
+        elif s.fails is not None:
+            per_group.append(F.count_if(s.fails).alias(f"__g{i}"))
+            totals.append(F.sum(f"__g{i}").alias(f"__c{i}"))
+            entries.append((s, F.col(f"__c{i}"), F.col(f"__c{i}") == 0))
+        elif s.check == "has_at_least_one_value":
+            per_group.append(F.count(F.col(_q(s.column))).alias(f"__g{i}"))
+            totals.append(F.sum(f"__g{i}").alias(f"__h{i}"))
+            entries.append((s, F.lit(None).cast("bigint"), (F.col(f"__h{i}") > 0) | F.coalesce(n == 0, F.lit(True))))
+        elif s.check == "dataframe_is_non_empty":
+            entries.append((s, F.lit(None).cast("bigint"), F.coalesce(n > 0, F.lit(False))))
+        elif s.check == "index_is_monotonically_increasing":
+            o = F.col(_q(s.column))
+            per_group += [F.min(o).alias(f"__lo{i}"), F.max(o).alias(f"__hi{i}"), F.count(o).alias(f"__k{i}")]
+            totals += [F.min(f"__lo{i}").alias(f"__mn{i}"), F.max(f"__hi{i}").alias(f"__mx{i}"),
+                       F.sum(f"__k{i}").alias(f"__ct{i}")]
+            ok = (F.col(f"__mn{i}") == 0) & (F.col(f"__mx{i}") == n - 1) & (F.col(f"__ct{i}") == n)
+            entries.append((s, F.lit(None).cast("bigint"), F.coalesce(n == 0, F.lit(True)) | F.coalesce(ok, F.lit(False))))
+        else:  # not decomposable over groups: two passes
+            return _report_two_pass(prep, model, skip, sets)
+    dup = F.when(F.col("__rows") > 1, F.col("__rows"))
+    totals.append(F.coalesce(F.sum(dup), F.lit(0)).alias("__dup"))
+    grouped = prep.checked.groupBy(*[_q(c) for c in unique_cols]).agg(*per_group)
+    summary = grouped.agg(*totals).withColumn("__n", F.coalesce(n, F.lit(0)))
+    total = F.col("__n").cast("bigint")
+    rows = [
+        F.struct(
+            F.lit(s.check).alias("check"),
+            F.lit(s.column).cast("string").alias("column"),
+            (F.coalesce(failed, F.lit(0)) if s.fails is not None and not s.static_fail else failed)
+            .cast("bigint").alias("failed_rows"),
+            total.alias("total_rows"),
+            passed.alias("passed"),
+        )
+        for s, failed, passed in entries
+    ]
+    rows.append(
+        F.struct(
+            F.lit(unique_name).alias("check"),
+            F.lit(",".join(unique_cols)).alias("column"),
+            F.col("__dup").cast("bigint").alias("failed_rows"),
+            total.alias("total_rows"),
+            (F.col("__dup") == 0).alias("passed"),
+        )
+    )
+    return summary.select(F.inline(F.array(*rows)))
+
+
 @dataclass
 class ObservedChecks:
     """A coerced frame whose scalar checks are collected while it is written.
