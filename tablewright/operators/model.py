@@ -260,6 +260,8 @@ def _row_specs(prep: _Prepared, model: type[DataModel]) -> list[_Spec]:
             specs.append(_Spec(f"coerce_dtype('{DISPLAY_NAMES[fld.dtype]}')", name, fails=~prep.ok[name]))
         if not fld.nullable:
             specs.append(_Spec("not_nullable", name, fails=v.isNull()))
+        if name in prep.wrong_type:
+            continue  # already failed on its type; comparing it could raise a cast error
         for op, bound in (("ge", fld.ge), ("gt", fld.gt), ("le", fld.le), ("lt", fld.lt)):
             if bound is None:
                 continue

@@ -251,3 +251,15 @@ def test_high_cardinality_is_rejected_by_the_estimate(spark):
     df = spark.range(100_000).selectExpr("cast(id as string) as s")
     with pytest.raises(TooManyLevelsError, match="about"):
         distinct_levels(df, "s", 100)
+
+
+def test_wrong_type_is_reported_not_raised_by_a_bound(spark):
+    class Typed(DataModel):
+        _coerce = False
+        x = Field("bigint", ge=0)
+
+    df = spark.createDataFrame([("abc",), ("5",)], "x string")
+    rows = {r.check: r.passed for r in report(df, Typed).collect()}
+    assert rows["dtype('int64')"] is False and "greater_than_or_equal_to(0)" not in rows
+    with pytest.raises(ValidationError, match="to have type int"):
+        validate(df, Typed)
