@@ -135,16 +135,21 @@ def predict(
 ) -> DataFrame:
     """Predictions for the window; the model defaults to the champion."""
     start, end = prediction_window(start_date, num_samples)
+    signature_path = None
     if model is None:
         if not model_name:
             raise ValueError("pass a fitted model or the name of a registered model")
-        model = (store or RunStore(spark)).load_champion(model_name)
+        store = store or RunStore(spark)
+        signature_path = store.champion_path(model_name)
+        model = store.load_champion(model_name)
     raw = fetch_data(
         spark, {"start_date": start, "end_date": end}, queries, data_model=raw_model, cache=cache
     )
     if copy_raw_to:
         write_parquet(raw, copy_raw_to)
     frame = process_frame(raw, data_model=processed_model, proven_unique=_proven(raw_model, processed_model))
+    if signature_path:
+        store.check_signature(signature_path, frame)  # R4, before any prediction job
     out = predict_rows(model, frame, keys)
     if output:
         write_parquet(out, output)

@@ -133,6 +133,25 @@ class RunStore:
     def signature(self, path: str) -> str:
         return self.spark.read.parquet(f"{path}/signature").collect()[0].signature
 
+    def check_signature(self, path: str, df: DataFrame) -> None:
+        """The input must have every signature column with the same type."""
+        import json
+
+        from pyspark.sql import types as T
+
+        expected = T.StructType.fromJson(json.loads(self.signature(path)))
+        have = {f.name: f.dataType for f in df.schema.fields}
+        problems = []
+        for f in expected.fields:
+            if f.name not in have:
+                problems.append(f"missing column {f.name!r}")
+            elif have[f.name] != f.dataType:
+                problems.append(
+                    f"column {f.name!r} is {have[f.name].simpleString()}, model expects {f.dataType.simpleString()}"
+                )
+        if problems:
+            raise ValueError("input does not match the model signature: " + "; ".join(problems))
+
     def champions(self) -> DataFrame:
         """The newest version of every model name (lazy)."""
         return self.versions().groupBy("model").agg(

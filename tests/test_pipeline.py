@@ -154,3 +154,15 @@ def test_train_and_predict_end_to_end(spark, tmp_path):
                   num_samples=30, store=store, cache=cache)
     pointer = store.runs().where(F.col("run_id") == again.run_id).collect()[0].params["raw_data"]
     assert "/data/key=" in pointer and path_exists(spark, pointer)
+
+
+def test_signature_mismatch_is_refused(spark, panel, tmp_path):
+    store = RunStore(spark, str(tmp_path / "rec"))
+    model = fit(make_model("baseline"), panel)
+    store.register_model("sig", model, run_id="r", training_cutoff=None, example=panel.drop("target"))
+    path = store.champion_path("sig")
+    store.check_signature(path, panel)
+    with pytest.raises(ValueError, match="spend"):
+        store.check_signature(path, panel.withColumn("spend", F.col("spend").cast("string")))
+    with pytest.raises(ValueError, match="missing column 'clicks'"):
+        store.check_signature(path, panel.drop("clicks"))
