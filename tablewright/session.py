@@ -75,6 +75,11 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or _LOCAL_ROOTS.get(sc.applicationId)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder every executor can reach; "
+                "a temporary folder is only used for local sessions"
+            )
         root = tempfile.mkdtemp(prefix="tablewright-")
         _LOCAL_ROOTS[sc.applicationId] = root
     if sc.getCheckpointDir() is None:
