@@ -27,7 +27,7 @@ def test_every_query_has_an_entry_or_is_documented():
     qs, oracle = E.queries(), E.oracle_sql()
     assert set(oracle) <= set(qs)
     without = set(qs) - set(oracle)
-    assert without == {"fit_random_forest", "predict_batch", "grid_sweep", "random_search", "parent_run"}
+    assert without == {"fit_random_forest", "predict_batch", "grid_sweep", "random_search"}
 
 
 @pytest.mark.parametrize("name", NAMES)
