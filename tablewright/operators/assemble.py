@@ -17,6 +17,7 @@ the offending keys.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -72,11 +73,11 @@ class Assembly:
             out = out.unionByName(part)
         return out
 
-    def raise_if_not_unique(self) -> None:
+    def raise_if_not_unique(self, timeout_s: float = 300.0) -> None:
         """Check the observations; call only after an action on ``panel``."""
         bad = []
         for name, obs in self.observations.items():
-            metrics = obs.get
+            metrics = observed_metrics(obs, timeout_s)
             if (metrics.get("max_rows") or 0) > 1:
                 bad.append(name)
         if not bad:
@@ -100,6 +101,24 @@ class Assembly:
             )
 
 
+def observed_metrics(obs: Observation, timeout_s: float = 300.0) -> dict:
+    """The metrics of an observation, waiting at most ``timeout_s``.
+
+    Metrics arrive through the listener bus shortly after the observed action
+    finishes; ``Observation.get`` alone would wait forever if no action ran.
+    """
+    jo = getattr(obs, "_jo", None)
+    if jo is not None:
+        deadline = time.monotonic() + timeout_s
+        while not jo.future().isCompleted():
+            if time.monotonic() > deadline:
+                raise RuntimeError(
+                    f"observation {jo.name()!r} has no result: run an action on the frame first"
+                )
+            time.sleep(0.05)
+    return obs.get
+
+
 def run_queries(
     spark: SparkSession, queries: Mapping[str, str], params: SqlParams | None = None
 ) -> dict[str, DataFrame]:

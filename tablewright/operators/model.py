@@ -493,7 +493,9 @@ class ObservedChecks:
     unique: dict[str, list[str]]
 
     def rows(self) -> list[dict]:
-        metrics = self.observation.get
+        from .assemble import observed_metrics
+
+        metrics = observed_metrics(self.observation)
         n = metrics["__n"]
         out = []
         for s, fkey, pkey in self.entries:
