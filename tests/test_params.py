@@ -44,3 +44,16 @@ def test_in_list_is_pushed_into_the_scan(spark, tmp_path):
 def test_missing_parameter_raises(spark):
     with pytest.raises(Exception, match="UNBOUND|unbound"):
         run_sql(spark, "select :a as x", {"b": 1}).collect()
+
+
+def test_date_columns_are_parsed(spark):
+    from datetime import datetime
+
+    from tablewright.sources.dates import parse_date_columns
+
+    df = spark.createDataFrame([("2024-01-02", 86400, "x"), ("nope", 0, "y")], "date string, ts bigint, other string")
+    out = parse_date_columns(df, names=("date", "ts"))
+    rows = sorted(out.collect(), key=lambda r: r.other)
+    assert rows[0].date == datetime(2024, 1, 2) and rows[1].date is None
+    assert rows[0].ts == datetime(1970, 1, 2) and rows[1].ts == datetime(1970, 1, 1)
+    assert out.schema["other"].dataType.simpleString() == "string"

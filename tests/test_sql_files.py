@@ -35,3 +35,13 @@ def test_texts_read_through_spark(spark, tmp_path):
     (tmp_path / "b.sql").write_text("select 2")
     (tmp_path / "a.sql").write_text("select 1")
     assert load_sql_texts(spark, str(tmp_path)) == {"a": "select 1", "b": "select 2"}
+
+
+def test_two_files_with_one_stem_raise(tmp_path):
+    import pytest
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.sql").write_text("select 1")
+    (tmp_path / "x.sql").write_text("select 2")
+    with pytest.raises(ValueError, match="share the name 'x'"):
+        load_sql_files(str(tmp_path / "**" / "*.sql"))
