@@ -12,7 +12,7 @@ A source with target / size = w + f takes every document w times whole, and one
 more repetition of a seeded part f of it: documents are ordered by a seeded
 digest of their id in ``SLICES`` slices; slices below the cut are repeated
 whole, the slice at the cut contributes the missing words, spread over its
-documents as a fractional repetition. The words taken differ from the target by
+documents as a fractional repetition. Documents are joined with one row per source. The words taken differ from the target by
 rounding only, without sorting or collecting a source. Reruns agree: everything
 depends on the seed, the ids and the sizes.
 
@@ -33,6 +33,7 @@ MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
 SEED = "mix-1"
 HEX_DIGITS = 3  # 16**3 slices
+_PLAN = "__mixing_plan"  # clashes with no column of a document table
 
 
 def n_words(text: Column) -> Column:
@@ -73,7 +74,7 @@ def targets(sizes: DataFrame, *, max_epochs: int = MAX_EPOCHS, weights: tuple[in
 
 
 def _plan(sized: DataFrame, max_epochs: int, weights: tuple[int, ...]) -> DataFrame:
-    """Per source: target, whole repetitions, the slice at the cut and its fraction."""
+    """One row per source: target, whole repetitions, the slice at the cut and its fraction."""
     slices = sized.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     per_source = slices.groupBy("source").agg(F.sum("words").alias("source_size"))
     goal = targets(per_source, max_epochs=max_epochs, weights=weights).select(
@@ -88,15 +89,26 @@ def _plan(sized: DataFrame, max_epochs: int, weights: tuple[int, ...]) -> DataFr
         "done", F.coalesce(F.sum("words").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     )
     part = F.when(F.col("words") > 0, (F.col("missing") - F.col("done")) / F.col("words")).otherwise(0.0)
-    return run.select(
-        "_source", F.col("slice").alias("_slice"), "source_size", "target", "whole",
-        F.greatest(F.lit(0.0), F.least(F.lit(1.0), part)).alias("part"),
+    cut = F.struct(F.col("slice"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), part)).alias("part"))
+    return run.groupBy("_source").agg(
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"),
+        F.first("whole").alias("whole"),
+        F.max(F.when(F.col("done") <= F.col("missing"), cut)).alias("cut"),  # the last slice that is reached
     )
 
 
-def _taken(size: Column, whole: Column, part: Column, max_epochs: int) -> Column:
-    """Words taken of a document: whole repetitions and a rounded part of one more."""
-    return F.least(whole * size + F.floor(part * size + F.lit(0.5)), size * max_epochs).cast("long")
+def _taken(size: Column, slice_: Column, plan: str, max_epochs: int) -> Column:
+    """Words taken of a document: whole repetitions, and what its slice has of one more."""
+    part = (
+        F.when(slice_ < F.col(f"{plan}.cut.slice"), 1.0)
+        .when(slice_ == F.col(f"{plan}.cut.slice"), F.col(f"{plan}.cut.part"))
+        .otherwise(0.0)
+    )
+    return F.least(F.col(f"{plan}.whole") * size + F.floor(part * size + F.lit(0.5)), size * max_epochs).cast("long")
+
+
+def _struct_plan(plan: DataFrame, folder: str) -> DataFrame:
+    return written(plan, folder, "plan").select(F.struct("*").alias(_PLAN))
 
 
 def mix(
@@ -118,16 +130,14 @@ def mix(
         ),
         folder, "sizes",
     )
-    plan = written(_plan(sized, max_epochs, weights), folder, "plan")
-    joined = sized.join(
-        plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("slice") == F.col("_slice"))
-    )
+    plan = _struct_plan(_plan(sized, max_epochs, weights), folder)
+    joined = sized.join(plan, F.col("source").eqNullSafe(F.col(f"{_PLAN}._source")))
     return joined.select(
         F.col("id").alias(id_col),
         "size",
-        "source_size",
-        F.col("target").cast("double").alias("target"),
-        _taken(F.col("size"), F.col("whole"), F.col("part"), max_epochs).alias("taken"),
+        F.col(f"{_PLAN}.source_size").alias("source_size"),
+        F.col(f"{_PLAN}.target").cast("double").alias("target"),
+        _taken(F.col("size"), F.col("slice"), _PLAN, max_epochs).alias("taken"),
     )
 
 
@@ -150,10 +160,9 @@ def mix_documents(
         F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"),
         slice_of(F.col(id_col), seed).alias("slice"),
     )
-    plan = _plan(sized, max_epochs, weights).select(F.struct("_source", "_slice", "whole", "part").alias("__mix"))
-    plan = written(plan, folder, "plan")
-    here = F.col(source_col).cast("string").eqNullSafe(F.col("__mix._source")) & (
-        slice_of(F.col(id_col), seed) == F.col("__mix._slice")
+    plan = _struct_plan(_plan(sized, max_epochs, weights), folder)
+    taken = _taken(n_words(F.col(text_col)), slice_of(F.col(id_col), seed), _PLAN, max_epochs)
+    return (
+        docs.join(plan, F.col(source_col).cast("string").eqNullSafe(F.col(f"{_PLAN}._source")))
+        .withColumn("words_taken", taken).drop(_PLAN)
     )
-    taken = _taken(n_words(F.col(text_col)), F.col("__mix.whole"), F.col("__mix.part"), max_epochs)
-    return docs.join(plan, here).withColumn("words_taken", taken).drop("__mix")
