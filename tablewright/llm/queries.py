@@ -204,7 +204,7 @@ units as (
   union all
   select doc_id, 'line', unnest(x) from (select doc_id, string_split(text, chr(10)) as x from documents) where len(x) > 1
 ),
-forms as (select doc_id, unit, {form.replace("@text", "body")} as form from units where regexp_matches(body, '(?i)licens|licenc|software'))
+forms as (select doc_id, unit, {form.replace("@text", "body")} as form from units)
 select doc_id, license_id, kind, unit, count(*)::bigint as n_matches
 from forms join known using (form) where form <> '' group by all"""
 
