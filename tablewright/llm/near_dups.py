@@ -16,8 +16,10 @@ row in each bucket. No bucket is expanded into pairs:
 2. Buckets that still hold several components name the open documents. Among
    those an exact prefix-filter join finds every remaining pair that can reach
    the threshold: order all shingles by rising frequency; two sets with
-   similarity t share one of the first ``n - ceil(t n) + 1`` shingles of each.
-   Pairs inside one component are not emitted; the others are verified too.
+   similarity t share one of the first ``n - ceil(t n) + 1`` shingles of each,
+   and from the first one they share on, both must have enough shingles left for
+   the overlap that t asks for. Pairs inside one component are not emitted; the
+   others are verified too.
 
 Every pair that shares a bucket is therefore verified or already connected. The
 only loss is a pair at or above the threshold that shares no bucket: with the
@@ -187,14 +189,16 @@ def _prefix_pairs(open_sets: DataFrame, percent: int, folder: str) -> DataFrame:
     need = (F.col("n") * percent + 99) / 100  # ceil(t n) after the floor below
     prefix = ranked.select(
         "id", "component", "n",
-        F.explode(F.slice("ranked", 1, (F.col("n") - F.floor(need) + 1).cast("int"))).alias("p"),
-    ).where("p.df > 1").select("id", "component", "n", "p.s")
+        F.posexplode(F.slice("ranked", 1, (F.col("n") - F.floor(need) + 1).cast("int"))).alias("at", "p"),
+    ).where("p.df > 1").select("id", "component", "n", "p.s", "at")
     prefix = written(prefix, folder, "prefix")
     x, y = prefix.alias("x"), prefix.alias("y")
-    ok_size = (F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent)
+    # if this is the first common shingle, no more than the shingles from here on are common
+    reach = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    can_reach = reach * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
     return (
         x.join(y, F.col("x.s") == F.col("y.s"))
-        .where((F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & ok_size)
+        .where((F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & can_reach)
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         .distinct()
     )
