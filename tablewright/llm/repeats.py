@@ -29,10 +29,14 @@ its members ordered by the left part, and a join of two clusters inserts the
 smaller into the larger and looks at the neighbours only: O(g log g) for a gram
 with g different contexts, never all pairs.
 
-Hot grams. A gram with more than ``hot`` different contexts (a passage shorter
-than 400 bytes inside a large part of the corpus, with different surroundings)
-is not given to one task: its windows are counted one by one by 128-bit hash in a
-grouped aggregate, which is exact as well and has no group to hold in memory.
+Hot groups. A gram with more than ``hot`` different contexts (a short passage in
+a large part of the corpus, with different surroundings) is not given to one
+task. The offsets o are cut into strips; all windows of a strip contain the same
+core around the place (400 bytes less the strip's width), so contexts that share
+such a window share the core, and the group is refined by the hash of the core,
+one row per strip a context has windows in. Groups that stay hot are refined
+again with narrower strips, down to one offset, where the core is the window
+itself and equality alone decides. Every level is a grouped count and exact.
 
 Texts are taken as UTF-8 bytes, null as empty. Matches never cross documents.
 Ids must be unique; extra columns are ignored; an empty table gives no rows.
@@ -56,6 +60,7 @@ from tablewright.llm.work import small_batches, work_dir, written
 LENGTH = 400
 GRAM = 32
 HOT = 2000
+STRIPS = 4  # strips of the first refinement, and how many times more in each next one
 BUCKETS_PER_PARTITION = 4
 _TEXTS_AT_ONCE = 1 << 16
 U = np.uint64
@@ -295,45 +300,50 @@ def merge_runs(runs: list[Run]) -> Iterator[tuple[bytes, int, object]]:
 
 
 def _write_runs(buckets: int):
-    """Sort the suffixes of one batch into a front-coded run for each bucket of grams."""
+    """Sort the suffixes of one batch into a front-coded run for each bucket of groups.
+
+    A suffix is led by the eight bytes of its group, so groups stay apart in the order.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gram = batch.column(0).to_numpy(zero_copy_only=False)
-            ctx, copies = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            left, right = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            bucket = (arrays.mix64(gram.view(U)) % U(buckets)).astype(np.int64)
-            order = sorted(range(len(gram)), key=lambda i: (bucket[i], right[i], left[i]))
-            out = {"bucket": [], "lengths": [], "tails": [], "ctx": [], "copies": [], "left": []}
+            group = batch.column(0).to_numpy(zero_copy_only=False).view(U)
+            ctx, left = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            suffix = [g + r for g, r in zip(_leads(group), batch.column(3).to_pylist())]
+            bucket = (arrays.mix64(group) % U(buckets)).astype(np.int64).tolist()
+            order = sorted(range(len(ctx)), key=lambda i: (bucket[i], suffix[i], left[i]))
+            out = {"bucket": [], "lengths": [], "tails": [], "ctx": [], "left": []}
             i = 0
             while i < len(order):
                 j = i
                 while j < len(order) and bucket[order[j]] == bucket[order[i]]:
                     j += 1
                 part = order[i:j]
-                lengths, tails = front_code([right[x] for x in part])
-                out["bucket"].append(int(bucket[order[i]]))
+                lengths, tails = front_code([suffix[x] for x in part])
+                out["bucket"].append(bucket[order[i]])
                 out["lengths"].append(lengths)
                 out["tails"].append(tails)
                 out["ctx"].append([ctx[x] for x in part])
-                out["copies"].append([copies[x] for x in part])
                 out["left"].append([left[x] for x in part])
                 i = j
             yield pa.RecordBatch.from_pydict(
                 out,
                 schema=pa.schema(
                     [("bucket", pa.int64()), ("lengths", pa.list_(pa.int32())), ("tails", pa.list_(pa.binary())),
-                     ("ctx", pa.list_(pa.binary())), ("copies", pa.list_(pa.int64())), ("left", pa.list_(pa.binary()))]
+                     ("ctx", pa.list_(pa.binary())), ("left", pa.list_(pa.binary()))]
                 ),
             )
 
     return run
 
 
-_RUNS = (
-    "bucket long, lengths array<int>, tails array<binary>, ctx array<binary>, "
-    "copies array<long>, left array<binary>"
-)
+_LEAD = 8
+_RUNS = "bucket long, lengths array<int>, tails array<binary>, ctx array<binary>, left array<binary>"
+
+
+def _leads(group: np.ndarray) -> list[bytes]:
+    raw = group.astype(">u8").tobytes()
+    return [raw[i:i + _LEAD] for i in range(0, len(raw), _LEAD)]
 
 
 # ---------------------------------------------------------------------------
@@ -389,67 +399,87 @@ def reach(rights: list[int], lefts: list[bytes], length: int = LENGTH) -> tuple[
 def _merge_bucket(length: int, k: int):
     """Merge the runs of one bucket and report the covered bytes around every context."""
 
-    def run(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        runs = []
-        for pdf in rows:
-            for lengths, tails, ctx, copies, left in zip(pdf.lengths, pdf.tails, pdf.ctx, pdf.copies, pdf.left):
-                runs.append(Run(lengths, tails, list(zip(ctx, copies, left))))
-        if not runs:
-            return
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        runs = [
+            Run(lengths, tails, list(zip(ctx, left)))
+            for lengths, tails, ctx, left in zip(pdf.lengths, pdf.tails, pdf.ctx, pdf.left)
+        ]
         group: list[tuple] = []
         out: list[tuple] = []
         for _, lcp, item in merge_runs(runs):
-            if lcp < k and group:
+            if lcp < _LEAD + k and group:
                 out += _close(group, length)
                 group = []
-            group.append((lcp, *item))
+            group.append((max(0, lcp - _LEAD), *item))
         out += _close(group, length)
-        yield pd.DataFrame(out, columns=["ctx", "before", "after"])
+        return pd.DataFrame(out, columns=["ctx", "before", "after"])
 
     return run
 
 
 def _close(group: list[tuple], length: int) -> list[tuple]:
-    before, after = reach([x[0] for x in group], [x[3] for x in group], length)
+    before, after = reach([x[0] for x in group], [x[2] for x in group], length)
     return [(x[1], b, a) for x, b, a in zip(group, before, after) if a]
 
 
-def _windows(length: int, k: int):
-    """Every window that has its place at a hot context's, as a 128-bit hash.
+def _cores(length: int, k: int, strips: int):
+    """(ctx, left, right) -> the hash of the core of every strip the context has windows in.
 
-    A window of the corpus has one place, so it is counted once.
+    Only windows whose place is this context's count; a window of the corpus has one place.
     """
+    span = length - k + 1
+    width = -(-span // strips)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {"w1": [], "w2": [], "ctx": [], "copies": [], "offset": []}
-            for ctx, copies, left, right in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            keys, owners, numbers = [], [], []
+            for ctx, left, right in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 text = left[::-1] + right
-                data = np.frombuffer(text, np.uint8)
-                block = arrays.Block(data, np.array([0, len(data)]), 0)
-                at = window_places(gram_hashes(data, k), length - k + 1)
-                starts = np.flatnonzero(at == len(left))
-                w1 = block.hashes(starts, starts + length)
-                other = arrays.Block(np.bitwise_xor(data, 0xFF), np.array([0, len(data)]), 0)
-                w2 = other.hashes(starts, starts + length)
-                out["w1"].append(arrays.signed(w1))
-                out["w2"].append(arrays.signed(w2))
-                out["ctx"] += [ctx] * len(starts)
-                out["copies"] += [copies] * len(starts)
-                out["offset"].append(len(left) - starts)
-            if out["w1"]:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(out["w1"])), pa.array(np.concatenate(out["w2"])),
-                        pa.array(out["ctx"], type=pa.binary()), pa.array(out["copies"], type=pa.int64()),
-                        pa.array(np.concatenate(out["offset"]).astype(np.int32)),
-                    ],
-                    names=["w1", "w2", "ctx", "copies", "offset"],
-                )
+                at = window_places(gram_hashes(np.frombuffer(text, np.uint8), k), span)
+                offsets = len(left) - np.flatnonzero(at == len(left))
+                for strip in np.unique(offsets // width).tolist():
+                    start = len(left) - strip * width
+                    core = text[start:start + length - width + 1]
+                    digest = hashlib.blake2b(core, digest_size=8, salt=strip.to_bytes(4, "big")).digest()
+                    keys.append(int.from_bytes(digest, "big", signed=True))
+                    owners.append(ctx)
+                    numbers.append(strip)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(owners, pa.binary()), pa.array(numbers, pa.int32())],
+                names=["group", "ctx", "strip"],
+            )
 
     return run
 
 
+def _groups(parts: DataFrame, folder: str, length: int, k: int, hot: int) -> tuple[DataFrame, DataFrame]:
+    """Groups small enough for one task (``group, ctx, left, right``) and coverage found by equality alone."""
+    span = length - k + 1
+    texts = parts.select("ctx", "left", "right")
+    small = parts.where(F.col("variants") <= hot).select(F.col("gram").alias("group"), "ctx", "left", "right")
+    exact = parts.sparkSession.createDataFrame([], "ctx binary, before int, after int")
+    rest = parts.where(F.col("variants") > hot).select("ctx", "left", "right")
+    strips = 1
+    while rest.head(1):
+        strips = min(span, strips * STRIPS)
+        name = f"strips_{strips}"
+        cores = written(
+            rest.mapInArrow(_cores(length, k, strips), "group long, ctx binary, strip int"), folder, name
+        )
+        sizes = written(
+            cores.groupBy("group").agg(F.count("*").alias("variants")).where("variants > 1"), folder, f"{name}_sizes"
+        )
+        cores = written(cores.join(sizes, "group"), folder, f"{name}_groups")
+        if strips == span:
+            exact = cores.select("ctx", F.col("strip").alias("before"), (length - F.col("strip")).alias("after"))
+            break
+        refined = cores.where(F.col("variants") <= hot).select("group", "ctx")
+        small = small.union(refined.join(texts, "ctx").select("group", "ctx", "left", "right"))
+        again = cores.where(F.col("variants") > hot).select("ctx").distinct()
+        rest = written(rest.join(again, "ctx", "left_semi"), folder, f"{name}_rest")
+    return small, exact
+
+
 # ---------------------------------------------------------------------------
 # documents
 
@@ -515,31 +545,19 @@ def repeated_spans(
         distinct.groupBy("gram").agg(F.count("*").alias("variants")).where("variants > 1"), folder, "variants"
     )
     open_ctx = distinct.join(variants, "gram").select(
-        "gram", "ctx", "copies", "variants", F.col("first.id").alias("id"), F.col("first.at").alias("at")
-    )
-    parts = open_ctx.join(contexts.select("ctx", "id", "at", "left", "right"), ["id", "at", "ctx"])
-
-    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = parts.where(F.col("variants") <= hot).select("gram", "ctx", "copies", "left", "right").mapInArrow(
-        _write_runs(buckets), _RUNS
+        "gram", "ctx", "variants", F.col("first.id").alias("id"), F.col("first.at").alias("at")
     )
-    merge = _merge_bucket(length, gram)
-    merged = runs.groupBy("bucket").applyInPandas(
-        lambda pdf: pd.concat([*merge(iter([pdf]))] or [pd.DataFrame(columns=["ctx", "before", "after"])]),
-        "ctx binary, before int, after int",
-    )
-    windows = parts.where(F.col("variants") > hot).select("ctx", "copies", "left", "right").mapInArrow(
-        _windows(length, gram), "w1 long, w2 long, ctx binary, copies long, offset int"
-    )
-    windows = written(windows, folder, "windows")
-    twice = written(
-        windows.groupBy("w1", "w2").agg(F.sum("copies").alias("n")).where("n > 1").select("w1", "w2"), folder, "twice"
-    )
-    counted = windows.join(twice, ["w1", "w2"]).groupBy("ctx").agg(
-        F.max("offset").alias("before"), (F.lit(length) - F.min("offset")).cast("int").alias("after")
+    parts = written(
+        open_ctx.join(contexts.select("ctx", "id", "at", "left", "right"), ["id", "at", "ctx"])
+        .select("gram", "ctx", "variants", "left", "right"),
+        folder, "parts",
     )
+    small, exact = _groups(parts, folder, length, gram, hot)
+    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = small.mapInArrow(_write_runs(buckets), _RUNS)
+    merged = runs.groupBy("bucket").applyInPandas(_merge_bucket(length, gram), "ctx binary, before int, after int")
     found = written(
-        merged.union(counted).groupBy("ctx").agg(F.max("before").alias("before"), F.max("after").alias("after")),
+        merged.union(exact).groupBy("ctx").agg(F.max("before").alias("before"), F.max("after").alias("after")),
         folder, "found",
     )
 

@@ -21,7 +21,7 @@ def work_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write ``df`` as Parquet below ``folder`` and read it back."""
     path = f"{folder}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
