@@ -8,8 +8,8 @@ Which suffixes. Sorting a suffix per byte of the corpus is not affordable at
 so the leftmost gram of least hash inside each 400-byte window starts at the same
 place of both. Only suffixes that start at such a place enter the suffix array
 (about 2 in 370 bytes), and of those only the ones whose gram occurs again
-(a grouped count). Each carries its ``right`` part (400 bytes from the start) and
-its ``left`` part (the bytes before it that a window can reach).
+(a grouped count). Each carries its ``right`` and ``left`` parts, the bytes from it on
+and before it that its own windows reach.
 
 Sorting. Suffixes with the same right and left parts are collapsed into one, with
 their number (a partial aggregate, so thousands of copies cost one row). The rest
@@ -96,51 +96,46 @@ def window_places(hashes: np.ndarray, window: int) -> np.ndarray:
     return (low & U((1 << bits) - 1)).astype(np.int64)
 
 
-def places(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Positions that are the place of some window."""
-    at = window_places(hashes, window)
-    keep = np.ones(len(at), bool)
-    keep[1:] = at[1:] != at[:-1]
-    return at[keep]
+def text_places(data: np.ndarray, length: int = LENGTH, k: int = GRAM):
+    """Places of one text, their gram hashes, and the first and last window each is the place of.
 
-
-def _text_places(data: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of one text and their gram hashes; long texts in overlapping pieces."""
-    window = length - k + 1
-    found, hashes = [], []
-    for lo in range(0, max(1, len(data) - length + 1), _TEXTS_AT_ONCE):
-        piece = data[lo:lo + _TEXTS_AT_ONCE + length - 1]
-        if len(piece) < length:
-            break
-        h = gram_hashes(piece, k)
-        at = places(h, window)
-        found.append(at + lo)
-        hashes.append(h[at])
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, U)
-    at, first = np.unique(np.concatenate(found), return_index=True)
-    return at, np.concatenate(hashes)[first]
+    Long texts go in overlapping pieces. The place never moves back from one
+    window to the next, so the windows of a place are consecutive.
+    """
+    at, gram, window = [], [], []
+    for lo in range(0, len(data) - length + 1, _TEXTS_AT_ONCE):
+        h = gram_hashes(data[lo:lo + _TEXTS_AT_ONCE + length - 1], k)
+        found = window_places(h, length - k + 1)
+        new = np.ones(len(found), bool)
+        new[1:] = found[1:] != found[:-1]
+        new[-1] = True  # keep the last window of the piece as well
+        pick = np.unique(np.concatenate([np.flatnonzero(new), np.maximum(np.flatnonzero(new) - 1, 0)]))
+        at.append(found[pick] + lo)
+        gram.append(h[found[pick]])
+        window.append(pick + lo)
+    at, gram, window = np.concatenate(at), np.concatenate(gram), np.concatenate(window)
+    heads = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    ends = np.append(heads[1:], len(at)) - 1
+    return at[heads], gram[heads], window[heads], window[ends]
 
 
 def _place_rows(length: int, k: int):
+    """(id, text) -> places with the least and the largest offset in their windows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for raw in arrays.blocks(batch.column(1)):
-                out_id, out_at, out_gram = [], [], []
+                rows = []
                 for i in np.flatnonzero(np.diff(raw.offsets) >= length):
-                    at, gram = _text_places(raw.data[raw.offsets[i]:raw.offsets[i + 1]], length, k)
-                    out_id.append(np.full(len(at), ids[raw.first + i], np.int64))
-                    out_at.append(at)
-                    out_gram.append(gram)
-                if out_id:
+                    at, gram, first, last = text_places(raw.data[raw.offsets[i]:raw.offsets[i + 1]], length, k)
+                    rows.append((np.full(len(at), ids[raw.first + i], np.int64), at, gram, at - last, at - first))
+                if rows:
+                    doc, at, gram, least, most = (np.concatenate(c) for c in zip(*rows))
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.concatenate(out_id)),
-                            pa.array(np.concatenate(out_at).astype(np.int32)),
-                            pa.array(arrays.signed(np.concatenate(out_gram))),
-                        ],
-                        names=["id", "at", "gram"],
+                        [pa.array(doc), pa.array(at.astype(np.int32)), pa.array(arrays.signed(gram)),
+                         pa.array(least.astype(np.int32)), pa.array(most.astype(np.int32))],
+                        names=["id", "at", "gram", "least", "most"],
                     )
 
     return run
@@ -150,8 +145,12 @@ def _place_rows(length: int, k: int):
 # contexts of the repeated places
 
 
-def _contexts(length: int, k: int):
-    """(id, text, places) -> one row per place with its left part (reversed) and right part."""
+def _contexts(length: int):
+    """(id, text, places) -> one row per place with its left part (reversed) and right part.
+
+    Together they are the bytes of the windows that have this place, and no more:
+    inside a long periodic run all places then have one and the same context.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,8 +160,8 @@ def _contexts(length: int, k: int):
                 text = data[offsets[i]:offsets[i + 1]].tobytes()
                 for mark in marks.as_py():
                     at, gram = mark["at"], mark["gram"]
-                    left = text[max(0, at - (length - k)):at][::-1]
-                    right = text[at:at + length]
+                    left = text[at - mark["most"]:at][::-1]
+                    right = text[at:at + length - mark["least"]]
                     digest = hashlib.blake2b(right + left, digest_size=14, salt=len(left).to_bytes(2, "big")).digest()
                     rows.append((gram, digest, doc, at, left, right))
                     if len(rows) >= 4096:
@@ -423,10 +422,7 @@ def _close(group: list[tuple], length: int) -> list[tuple]:
 
 
 def _cores(length: int, k: int, strips: int):
-    """(ctx, left, right) -> the hash of the core of every strip the context has windows in.
-
-    Only windows whose place is this context's count; a window of the corpus has one place.
-    """
+    """(ctx, left, right) -> the hash of the core of every strip the context has windows in."""
     span = length - k + 1
     width = -(-span // strips)
 
@@ -435,9 +431,7 @@ def _cores(length: int, k: int, strips: int):
             keys, owners, numbers = [], [], []
             for ctx, left, right in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 text = left[::-1] + right
-                at = window_places(gram_hashes(np.frombuffer(text, np.uint8), k), span)
-                offsets = len(left) - np.flatnonzero(at == len(left))
-                for strip in np.unique(offsets // width).tolist():
+                for strip in range((length - len(right)) // width, len(left) // width + 1):
                     start = len(left) - strip * width
                     core = text[start:start + length - width + 1]
                     digest = hashlib.blake2b(core, digest_size=8, salt=strip.to_bytes(4, "big")).digest()
@@ -523,16 +517,18 @@ def repeated_spans(
     """``id, start, stop`` of covered bytes (may overlap) of the table ``id, text``."""
     spark = texts.sparkSession
     marks = texts.where(F.octet_length("text") >= length).mapInArrow(
-        _place_rows(length, gram), "id long, at int, gram long"
+        _place_rows(length, gram), "id long, at int, gram long, least int, most int"
     )
     marks = written(marks, folder, "places")
     # aggregates that a large side is joined with are written first: a join of two plain
     # exchanges is one whose hot keys Spark can split
     again = written(marks.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), folder, "again")
-    per_doc = marks.join(again, "gram").groupBy("id").agg(F.collect_list(F.struct("at", "gram")).alias("places"))
+    per_doc = marks.join(again, "gram").groupBy("id").agg(
+        F.collect_list(F.struct("at", "gram", "least", "most")).alias("places")
+    )
     contexts = written(
         texts.join(per_doc, "id").select("id", "text", "places").mapInArrow(
-            _contexts(length, gram), "gram long, ctx binary, id long, at int, left binary, right binary"
+            _contexts(length), "gram long, ctx binary, id long, at int, left binary, right binary"
         ),
         folder, "contexts",
     )
