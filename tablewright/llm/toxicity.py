@@ -314,11 +314,12 @@ def fit(
     counts = (
         rows.select(F.col("part").cast("int").alias("part"), "toxic", "text")
         .mapInArrow(_count_ngrams, "gram long, " + ", ".join(f"{g} long" for g in GROUPS))
-        .groupBy("gram").agg(*[F.sum(g).alias(g) for g in GROUPS])
+        .groupBy("gram").agg(*[F.sum(g).cast("int").alias(g) for g in GROUPS])
         .toArrow()
     )
     grams = counts["gram"].to_numpy().view(U)
     by_part = {g: counts[g].to_numpy() for g in GROUPS}
+    del counts
 
     def ratios(parts: list[int]):
         toxic = sum(by_part[f"toxic_{p}"] for p in parts)
