@@ -4,31 +4,28 @@
 and run as Spark SQL, the identifiers are the index columns, and the feature
 frames are left-joined onto the index in query order.
 
-One-to-one is checked in the same pass as the join. Each frame is re-grouped by
-the identifiers with a row count; a feature query that already groups by the
-identifiers is hash-partitioned on them, so the re-grouping adds no exchange,
-and a frame that is not yet partitioned gets the very exchange the sort-merge
-join needs anyway. An ``Observation`` on each re-grouped frame records the
-largest group, also for keys that match nothing in the index. After the action
-that materialises the plan, :meth:`Assembly.raise_if_not_unique` turns a group
-of more than one row into :class:`NotUniqueError`; only then a second job lists
-the offending keys.
+Frames are joined as they are; no row or value is ever merged. One-to-one is
+guarded on the plan itself: ``panel`` filters on a scalar subquery, the size of
+the largest group of equal identifiers over all frames (keys only, partial
+counts), and raises when it exceeds one. The subquery has no column of the panel
+in it, so neither column pruning nor an empty frame can remove it, and every
+action on ``panel`` fails on duplicates, whether their key is in the index or
+not. :meth:`Assembly.check_one_to_one` is the same check as a job of its own that
+names the queries and keys; ``joined`` is the plan without the guard for callers
+that have run it.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..sources.dates import parse_date_columns
 from ..sources.params import SqlParams, run_sql
 
-ROWS = "__rows"
 MAX_REPORTED_KEYS = 20
 
 
@@ -50,8 +47,7 @@ class Assembly:
 
     identifiers: list[str]
     frames: dict[str, DataFrame]
-    panel: DataFrame
-    observations: dict[str, Observation] = field(default_factory=dict)
+    joined: DataFrame
 
     def duplicates(self) -> DataFrame:
         """J2 as a query: every duplicated identifier tuple, per query.
@@ -73,51 +69,35 @@ class Assembly:
             out = out.unionByName(part)
         return out
 
-    def raise_if_not_unique(self, timeout_s: float = 300.0) -> None:
-        """Check the observations; call only after an action on ``panel``."""
-        bad = []
-        for name, obs in self.observations.items():
-            metrics = observed_metrics(obs, timeout_s)
-            if (metrics.get("max_rows") or 0) > 1:
-                bad.append(name)
-        if not bad:
+    def largest_group(self) -> DataFrame:
+        """One row, ``n``: rows of the most frequent identifier tuple of any frame."""
+        ids = [_q(c) for c in self.identifiers]
+        out = None
+        for df in self.frames.values():
+            part = df.groupBy(*ids).agg(F.count(F.lit(1)).alias("rows")).agg(F.max("rows").alias("n"))
+            out = part if out is None else out.union(part)
+        return out.agg(F.max("n").alias("n"))
+
+    @property
+    def panel(self) -> DataFrame:
+        """The joined table; every action on it raises if a frame has duplicate keys."""
+        twice = F.coalesce(self.largest_group().scalar(), F.lit(0)) > 1
+        message = F.lit("Merge keys are not unique; check_one_to_one() lists them")
+        return self.joined.where(F.when(twice, F.raise_error(message)).otherwise(F.lit(True)))
+
+    def check_one_to_one(self) -> None:
+        """Raises :class:`NotUniqueError` naming every query with duplicate keys."""
+        dups = self.duplicates()
+        sources = sorted(r["source"] for r in dups.select("source").distinct().collect())
+        if not sources:
             return
-        sample = self.duplicates().limit(MAX_REPORTED_KEYS + 1).collect()
+        sample = dups.limit(MAX_REPORTED_KEYS + 1).collect()
         keys = [tuple(r[c] for c in ["source", *self.identifiers]) for r in sample]
         more = " ..." if len(keys) > MAX_REPORTED_KEYS else ""
         raise NotUniqueError(
-            f"Merge keys are not unique in {', '.join(bad)}: "
-            f"{keys[:MAX_REPORTED_KEYS]}{more}"
+            f"Merge keys are not unique in {', '.join(sources)}: {keys[:MAX_REPORTED_KEYS]}{more}"
         )
 
-    def check_one_to_one(self) -> None:
-        """Standalone J2: one job, raises when any frame has duplicate keys."""
-        sample = self.duplicates().limit(MAX_REPORTED_KEYS + 1).collect()
-        if sample:
-            keys = [tuple(r[c] for c in ["source", *self.identifiers]) for r in sample]
-            sources = sorted({k[0] for k in keys})
-            raise NotUniqueError(
-                f"Merge keys are not unique in {', '.join(sources)}: {keys[:MAX_REPORTED_KEYS]}"
-            )
-
-
-def observed_metrics(obs: Observation, timeout_s: float = 300.0) -> dict:
-    """The metrics of an observation, waiting at most ``timeout_s``.
-
-    Metrics arrive through the listener bus shortly after the observed action
-    finishes; ``Observation.get`` alone would wait forever if no action ran.
-    """
-    jo = getattr(obs, "_jo", None)
-    if jo is not None:
-        deadline = time.monotonic() + timeout_s
-        while not jo.future().isCompleted():
-            if time.monotonic() > deadline:
-                raise RuntimeError(
-                    f"observation {jo.name()!r} has no result: run an action on the frame first"
-                )
-            time.sleep(0.05)
-    return obs.get
-
 
 def run_queries(
     spark: SparkSession, queries: Mapping[str, str], params: SqlParams | None = None
@@ -132,7 +112,6 @@ def assemble(
     params: SqlParams | None = None,
     *,
     null_safe: bool = False,
-    observe: bool = True,
 ) -> Assembly:
     """Left-join every query onto the mandatory ``index`` query.
 
@@ -145,11 +124,11 @@ def assemble(
     if "index" not in queries:
         raise KeyError("index")
     frames = run_queries(spark, {"index": queries.pop("index"), **queries}, params)
-    return assemble_frames(frames, null_safe=null_safe, observe=observe)
+    return assemble_frames(frames, null_safe=null_safe)
 
 
 def assemble_frames(
-    frames: Mapping[str, DataFrame], *, null_safe: bool = False, observe: bool = True
+    frames: Mapping[str, DataFrame], *, null_safe: bool = False
 ) -> Assembly:
     """Same as :func:`assemble` for frames that are already DataFrames."""
     frames = dict(frames)
@@ -173,48 +152,11 @@ def assemble_frames(
                 )
             seen[c] = name
 
-    observations: dict[str, Observation] = {}
-    keyed: dict[str, DataFrame] = {}
+    joined = index
     for name, df in frames.items():
-        if observe:
-            df, observations[name] = _keyed(df, ids, name)
-        keyed[name] = df
-
-    panel = keyed["index"]
-    for name, df in keyed.items():
-        if name == "index":
-            continue
-        panel = _left_join(panel, df, ids, null_safe)
-    return Assembly(identifiers=ids, frames=frames, panel=panel, observations=observations)
-
-
-def _keyed(df: DataFrame, ids: list[str], name: str) -> tuple[DataFrame, Observation]:
-    """Group ``df`` by the identifiers, counting rows, and observe the count."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    values = [c for c in df.columns if c not in ids]
-    # max is order-irrelevant, so Catalyst drops a query's ORDER BY below this
-    # aggregate (a join discards order anyway); for a 1:1 group it is the value.
-    grouped = df.groupBy(*[_q(c) for c in ids]).agg(
-        F.count(F.lit(1)).alias(ROWS),
-        *[(F.max if _orderable(types[c]) else F.any_value)(_q(c)).alias(c) for c in values],
-    )
-    obs = Observation(f"one_to_one_{name}")
-    grouped = grouped.observe(
-        obs,
-        F.coalesce(F.max(ROWS), F.lit(0)).alias("max_rows"),
-        F.count_if(F.col(ROWS) > 1).alias("duplicated_keys"),
-    )
-    return grouped.select(*[_q(c) for c in df.columns]), obs
-
-
-def _orderable(dt: T.DataType) -> bool:
-    if isinstance(dt, (T.MapType, T.VariantType)):
-        return False
-    if isinstance(dt, T.ArrayType):
-        return _orderable(dt.elementType)
-    if isinstance(dt, T.StructType):
-        return all(_orderable(f.dataType) for f in dt.fields)
-    return True
+        if name != "index":
+            joined = _left_join(joined, df, ids, null_safe)
+    return Assembly(identifiers=ids, frames=frames, joined=joined)
 
 
 def _left_join(left: DataFrame, right: DataFrame, ids: list[str], null_safe: bool) -> DataFrame:

@@ -145,6 +145,20 @@ class DataModel:
     def category_levels(cls) -> dict[str, tuple[str, ...]]:
         return {n: f.levels for n, f in cls.fields().items() if f.dtype == "category" and f.levels}
 
+    @classmethod
+    def declaration(cls) -> dict:
+        """Everything the model does to a table, as plain values: equal only for equal models.
+
+        Checks are given by their expressions, so a changed body or bound shows.
+        """
+        return {
+            "fields": [(n, repr(f)) for n, f in cls.fields().items()],
+            "checks": [(kind, name, str(fn())) for kind, name, fn in cls.checks()],
+            "unique": sorted((k, list(v)) for k, v in cls._unique.items()),
+            "rename": sorted(cls._pre_rename.items()),
+            "options": [repr(x) for x in (cls._coerce, cls._strict, cls._ordinal, cls._ml_conform, cls._ml_keep)],
+        }
+
     # Convenience entry points -------------------------------------------------
     @classmethod
     def validate(cls, df: DataFrame, **kw) -> DataFrame:
@@ -488,14 +502,28 @@ class ObservedChecks:
 
     frame: DataFrame
     observation: Any
+    checked: DataFrame
+    aggregates: list
     entries: list
     static: list[dict]
     unique: dict[str, list[str]]
 
-    def rows(self) -> list[dict]:
-        from .assemble import observed_metrics
+    def _metrics(self) -> dict:
+        """The observed aggregates, or the same aggregates as a job.
 
-        metrics = observed_metrics(self.observation)
+        The optimiser drops the observation of a plan it finds to be empty, and
+        some aggregates (distinct counts) cannot be observed at all.
+        """
+        jo = getattr(self.observation, "_jo", None)
+        if jo is not None and jo.future().isCompleted():
+            try:
+                return self.observation.get
+            except Exception:  # noqa: BLE001  completed without metrics: compute them
+                pass
+        return self.checked.agg(*self.aggregates).first().asDict()
+
+    def rows(self) -> list[dict]:
+        metrics = self._metrics()
         n = metrics["__n"]
         out = []
         for s, fkey, pkey in self.entries:
@@ -515,12 +543,16 @@ def observe_checks(
     Writing the frame computes the checks in the same pass: one scan for the
     data and the report instead of two.
     """
+    from pyspark.errors import AnalysisException
     from pyspark.sql import Observation
 
     prep = _prepare(df, model)
     aggs, entries = _check_plan(prep, model, skip)
     obs = Observation(f"checks_{model.__name__}")
-    observed = prep.checked.observe(obs, *aggs)
+    try:
+        observed = prep.checked.observe(obs, *aggs)
+    except AnalysisException:  # an aggregate that cannot be observed
+        obs, observed = None, prep.checked
     frame = _coerced_frame(
         _Prepared(prep.frame, observed, prep.ok, prep.declared, prep.missing, prep.wrong_type, prep.extra),
         model,
@@ -531,7 +563,7 @@ def observe_checks(
         if s.static_fail
     ]
     unique = {k: v for k, v in _unique_sets(prep, model).items() if k not in skip}
-    return ObservedChecks(frame, obs, entries, static, unique)
+    return ObservedChecks(frame, obs, prep.checked, aggs, entries, static, unique)
 
 
 def unique_rows(df: DataFrame, sets: dict[str, list[str]]) -> list[dict]:

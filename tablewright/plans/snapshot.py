@@ -1,10 +1,9 @@
 """Parquet sinks and the snapshot cache of assembled tables.
 
 ``fetch_data`` is the table builder of the reference re-expressed for Spark:
-assemble (one lazy plan), write the joined table once to a new snapshot folder
-(the one-to-one check rides along as an observation), validate the written
-Parquet with one report action, and only then publish the snapshot in an
-append-only manifest. A later call with the same parameters, SQL texts and
+assemble (one lazy plan), check one-to-one on the keys, write the joined table
+once to a new snapshot folder (the scalar checks ride along as an observation),
+and only then publish the snapshot in an append-only manifest. A later call with the same parameters, SQL texts and
 data model reads the snapshot while it is younger than the time-to-live.
 """
 
@@ -21,12 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.assemble import assemble
 from ..operators.conform import ml_conform
 from ..operators.model import DataModel, ValidationError, _message, observe_checks, unique_rows
-from ..session import list_names, path_exists, shared_dir
+from ..session import file_versions, list_names, path_exists, shared_dir
 from ..sources.params import SqlParams
 
 TTL = timedelta(hours=6)
 # Bumped whenever what a snapshot holds changes, so older ones are never reused.
-SNAPSHOT_FORMAT = 2
+SNAPSHOT_FORMAT = 3
 MANIFEST_SCHEMA = "key string, path string, kind string, created_at timestamp"
 
 
@@ -45,8 +44,9 @@ def snapshot_key(
 ) -> str:
     """Hash of everything the table depends on.
 
-    ``sources`` are the files the plan reads (from the planner's file listing,
-    no job): the same SQL over other data must never hit this snapshot.
+    ``sources`` are the versions of what the plan reads (no job): the same SQL
+    over other or rewritten data must never hit this snapshot. The data model
+    counts with its whole declaration.
     """
     payload = {
         "format": SNAPSHOT_FORMAT,
@@ -54,10 +54,7 @@ def snapshot_key(
         "sources": sorted(sources or []),
         "params": {k: repr(v) for k, v in sorted(dict(params or {}).items())},
         "queries": sorted(queries.items()),
-        "model": f"{model.__module__}.{model.__qualname__}",
-        "schema": model.schema().json(),
-        "checks": sorted(name for _, name, _ in model.checks()),
-        "unique": {k: list(v) for k, v in sorted(model._unique.items())},
+        "model": model.declaration(),
     }
     return hashlib.sha256(json.dumps(payload, sort_keys=True, default=str).encode()).hexdigest()
 
@@ -145,9 +142,10 @@ def fetch_data(
     ``null_safe=None`` joins null-safely only if an identifier may be null
     under ``data_model``.
 
-    Schema failures (missing columns, wrong types) raise before any job. Then
-    one write computes the joins, the coerced values, the one-to-one check and
-    every scalar check of the model (observations). Uniqueness of the
+    Schema failures (missing columns, wrong types) raise before any job. Then one
+    job counts the keys of every frame (one-to-one), and one write computes the
+    joins, the coerced values and every scalar check of the model (observed; an
+    empty table, whose observation the optimiser drops, is checked directly). Uniqueness of the
     identifiers follows from the one-to-one join; other uniqueness sets take
     one grouped count over the written snapshot. Raises ``NotUniqueError`` or
     ``ValidationError``; a failed snapshot is never published. The snapshot
@@ -158,20 +156,20 @@ def fetch_data(
     if null_safe is None:
         null_safe = _ids_may_be_null(spark, queries, params, data_model)
     asm = assemble(spark, queries, params, null_safe=null_safe)
-    key = snapshot_key(params, queries, data_model, asm.panel.inputFiles(), null_safe)
+    key = snapshot_key(params, queries, data_model, _source_versions(spark, asm), null_safe)
     if use_cache:
         hit = cache.lookup(key)
         if hit:
             return _read_snapshot(spark, hit, data_model)
 
     proven = [n for n, cols in data_model._unique.items() if sorted(cols) == sorted(asm.identifiers)]
-    checks = observe_checks(asm.panel, _declared(data_model), skip=proven)
+    checks = observe_checks(asm.joined, _declared(data_model), skip=proven)
     if checks.static:
         raise ValidationError(_message(checks.static), checks.static)
 
+    asm.check_one_to_one()
     path = cache.new_path(key)
     write_parquet(checks.frame, path)
-    asm.raise_if_not_unique()
     rows = checks.rows() + unique_rows(spark.read.parquet(path), checks.unique)
     failed = [r for r in rows if not r["passed"]]
     if failed:
@@ -180,6 +178,19 @@ def fetch_data(
     return _read_snapshot(spark, path, data_model)
 
 
+def _source_versions(spark: SparkSession, asm) -> list[str]:
+    """State of every source: files with length and modification time.
+
+    A frame without files (a view over memory or JDBC) is known by its plan
+    only, and only inside this session.
+    """
+    out = file_versions(spark, asm.joined.inputFiles())
+    for name, df in asm.frames.items():
+        if not df.inputFiles():
+            out.append(f"{name}:{spark.sparkContext.applicationId}:{df.semanticHash()}")
+    return out
+
+
 def _ids_may_be_null(spark, queries, params, model: type[DataModel]) -> bool:
     """Null-safe joins only when an identifier may be null under the model.
 

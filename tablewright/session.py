@@ -115,3 +115,18 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hpath):
         return []
     return [st.getPath().getName() for st in fs.listStatus(hpath)]
+
+
+def file_versions(spark: SparkSession, files: list[str]) -> list[str]:
+    """``path:length:modification time`` of the given files, one listing per folder."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    wanted, out = set(files), []
+    for folder in sorted({f.rsplit("/", 1)[0] for f in files}):
+        hpath = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        for st in hpath.getFileSystem(conf).listStatus(hpath):
+            name = f"{folder}/{st.getPath().getName()}"
+            if name in wanted:
+                out.append(f"{name}:{st.getLen()}:{st.getModificationTime()}")
+                wanted.discard(name)
+    return sorted([*out, *wanted])

@@ -1,8 +1,10 @@
 """J1/J2 against pandas on random keyed frames (hypothesis)."""
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 
 from tablewright.operators.assemble import NotUniqueError, assemble_frames
 
@@ -23,14 +25,14 @@ def test_left_join_matches_pandas(spark, index, feature):
         expected = idx.set_index("k").join([feat.set_index("k")], validate="1:1").reset_index()
     except Exception:
         expected = None
-    rows = asm.panel.collect()
     if expected is None:
-        try:
-            asm.raise_if_not_unique()
-        except NotUniqueError:
-            return
-        raise AssertionError("duplicates were not detected")
-    asm.raise_if_not_unique()
+        with pytest.raises(NotUniqueError):
+            asm.check_one_to_one()
+        with pytest.raises(PySparkException, match="not unique"):
+            asm.panel.collect()
+        return
+    asm.check_one_to_one()
+    rows = asm.panel.collect()
     got = sorted((r.k, r.v) for r in rows)
     want = sorted((int(k), None if pd.isna(v) else v) for k, v in zip(expected.k, expected.v))
     assert got == want

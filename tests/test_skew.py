@@ -15,15 +15,14 @@ def test_hot_user_panel_matches_brute_force(spark):
     skewed = events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
     skewed.createOrReplaceTempView("events")
     try:
-        panel = assemble(spark, P.panel_queries(), P.PARAMS).panel
+        panel = assemble(spark, P.panel_queries(), P.window(spark)).panel
         got = panel.toPandas()
     finally:
         P.register_events(spark, SF001)
 
     ev = skewed.toPandas()
     ev["date"] = ev["ts"].dt.date
-    ev = ev[(ev["ts"] >= pd.Timestamp(P.START)) & (ev["ts"] < pd.Timestamp(P.END) + pd.Timedelta(days=1))]
-    days = pd.date_range(P.START, P.END).date
+    days = pd.date_range(ev["date"].min(), ev["date"].max()).date
     index = pd.MultiIndex.from_product([sorted(ev["user_id"].unique()), days], names=["id", "date"])
     g = ev.groupby(["user_id", "date"])
     feats = pd.DataFrame({
