@@ -17,19 +17,18 @@ def day_sequence(start: Column, end: Column) -> Column:
 
 
 def calendar_spine(spark: SparkSession, start_date: date, end_date: date, name: str = "date") -> DataFrame:
-    """One row per day, inclusive on both ends; no cap on the length.
-
-    The row count is fixed by the two parameters, which is what makes the spine
-    safe to broadcast against a partitioned entity list.
-    """
+    """One row per day, inclusive on both ends; no cap on the length."""
     return spark.range(1).select(
         F.explode(day_sequence(F.lit(start_date), F.lit(end_date))).alias(name)
     )
 
 
-def entity_day_panel(entities: DataFrame, spine: DataFrame) -> DataFrame:
-    """Q4: entities x days. The spine (size set by the window) is broadcast."""
-    return entities.crossJoin(F.broadcast(spine))
+def entity_day_panel(entities: DataFrame, start: Column, end: Column, name: str = "date") -> DataFrame:
+    """Q4: entities x days, as a projection: every entity row explodes its own days.
+
+    No join and nothing to broadcast; the entities keep their partitions.
+    """
+    return entities.withColumn(name, F.explode(day_sequence(start, end)))
 
 
 def training_window(cutoff: date | None = None, num_samples: int = TRAINING_DAYS) -> tuple[date, date]:

@@ -102,7 +102,9 @@ def coerce(
         if isinstance(source, T.BooleanType):
             return x.cast(target), F.lit(True)
         if isinstance(source, T.StringType):
-            num = x.try_cast(T.DecimalType(38, 10))
+            # digits with at most zeros after the point: nothing is rounded on the way
+            plain = F.regexp_extract(x, r"^\s*([+-]?\d+)(?:\.0*)?\s*$", 1)
+            num = F.when(plain != "", plain).try_cast(T.DecimalType(38, 0))
         elif isinstance(source, _INTEGRAL + (T.DecimalType,) + _FRACTIONAL):
             num = x
         else:
@@ -162,6 +164,12 @@ def coerce(
             value = parsed.cast(target)
         else:
             return F.lit(None).cast(target), x.isNull()
-        return value, x.isNull() | value.isNotNull()
+        ok = value.isNotNull()
+        if dtype == "date" and not isinstance(source, T.DateType):
+            # a time of day would be lost
+            moment = x.try_cast(T.TimestampNTZType()) if isinstance(source, T.StringType) else x.cast(T.TimestampNTZType())
+            ok = ok & F.coalesce(moment == value.cast(T.TimestampNTZType()), F.lit(False))
+            value = F.when(ok, value)
+        return value, x.isNull() | ok
 
     raise ValueError(f"no coercion rule for {dtype!r}")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.conform import MAX_LEVELS, column_levels, distinct_levels
+from ..operators.conform import column_levels, distinct_levels
 
 # A column spec is a list of names or positions, or a function of the schema.
 ColumnSpec = Sequence[str | int] | Callable[[T.StructType], list[str]]
@@ -69,9 +69,9 @@ def by_dtype(include: str | Sequence[str]) -> Callable[[T.StructType], list[str]
 
 
 def build_columns(index: dict[int, bool] | None = None, **columns: bool) -> list[str | int]:
-    """Ordered names (or positions, with ``index=``) whose flag is true."""
-    selection = index if index is not None else columns
-    return [k for k, v in selection.items() if v]
+    """Names switched on, in the order given; positions with ``index=`` (which goes first)."""
+    toggles = columns if index is None else index
+    return list(filter(toggles.get, toggles))
 
 
 def feature_list(base: dict[str, bool], **overrides: bool) -> list[str]:
@@ -155,13 +155,12 @@ class OneHot(Transformer):
     """dense 0/1 columns ``<col>_<level>``, levels in sorted order.
 
     Levels come from the column metadata (declared categories), else from the
-    data (bounded by ``max_levels``). A null in the fitted data gets its own
-    ``<col>_nan`` column. Unknown levels at transform time raise unless
+    data. A null in the fitted data gets its own ``<col>_nan`` column. Levels, and
+    nulls, that were not fitted raise at transform time unless
     ``handle_unknown="ignore"`` (all zeros).
     """
 
     handle_unknown: str = "error"
-    max_levels: int = MAX_LEVELS
     levels: dict[str, list[str]] = field(default_factory=dict)
 
     def stats(self, df, columns):
@@ -170,7 +169,7 @@ class OneHot(Transformer):
     def build(self, df, columns, stats):
         out = []
         for c in columns:
-            levels = self.levels.get(c) or column_levels(df, c) or distinct_levels(df, c, self.max_levels)
+            levels = self.levels.get(c) or column_levels(df, c) or distinct_levels(df, c)
             levels = sorted(levels)
             guard = ""
             if self.handle_unknown == "error":
@@ -179,6 +178,8 @@ class OneHot(Transformer):
                     f"WHEN {q(c)} IS NOT NULL AND {q(c)} NOT IN ({listed}) "
                     f"THEN raise_error(concat('Found unknown categories in column {c}: ', {q(c)})) "
                 )
+                if not stats.get(f"has_null:{c}"):
+                    guard += f"WHEN {q(c)} IS NULL THEN raise_error('Found unknown categories in column {c}: null') "
             for i, level in enumerate(levels):
                 check = guard if i == 0 else ""
                 out.append(

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LEVELS_KEY = "levels"
-MAX_LEVELS = 1000
 
 
 class TooManyLevelsError(ValueError):
@@ -29,7 +28,7 @@ def ml_conform(
     levels: Mapping[str, Sequence[str]] | None = None,
     keep: Sequence[str] = (),
     find_levels: bool = False,
-    max_levels: int = MAX_LEVELS,
+    max_levels: int | None = None,
 ) -> DataFrame:
     """Apply M1-M4 in one projection.
 
@@ -62,26 +61,17 @@ def ml_conform(
     return df.select(*out)
 
 
-def distinct_levels(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) -> list[str]:
-    """Sorted distinct non-null values of a column, at most ``max_levels``.
+def distinct_levels(df: DataFrame, column: str, max_levels: int | None = None) -> list[str]:
+    """Sorted distinct non-null values of a column, by a grouped distinct (partial per partition).
 
-    A HyperLogLog estimate (fixed memory per task) first rejects columns far
-    above the bound, so a mistaken high-cardinality column never shuffles all
-    its values; then a grouped distinct (partial per partition) limited to
-    ``max_levels + 1`` rows gives the exact list. Only that bounded list
-    reaches the driver.
+    The levels become columns or column metadata, so they must fit a schema; a
+    caller that wants more than ``max_levels`` of them to be an error says so.
     """
-    estimate = df.agg(F.approx_count_distinct(F.col(f"`{column}`"), 0.05).alias("n")).collect()[0].n
-    if estimate > 1.2 * max_levels + 10:
-        raise TooManyLevelsError(f"column {column!r} has about {estimate} levels, more than {max_levels}")
-    rows = (
-        df.select(F.col(f"`{column}`").alias("v"))
-        .where(F.col("v").isNotNull())
-        .distinct()
-        .limit(max_levels + 1)
-        .collect()
-    )
-    if len(rows) > max_levels:
+    values = df.select(F.col(f"`{column}`").alias("v")).where(F.col("v").isNotNull()).distinct()
+    if max_levels is not None:
+        values = values.limit(max_levels + 1)
+    rows = values.collect()
+    if max_levels is not None and len(rows) > max_levels:
         raise TooManyLevelsError(f"column {column!r} has more than {max_levels} levels")
     return sorted(r.v for r in rows)
 

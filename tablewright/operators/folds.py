@@ -1,6 +1,8 @@
 """k-fold assignment by hashing the row key with a seed.
 
-Each row's fold is ``md5("<key>:<seed>")`` (first 32 bits) modulo k -- a pure
+Each row's fold is ``md5("<key>:<seed>")`` (first 32 bits) modulo k, where a key
+is the length and text of each part (``n`` for a null), so that different keys
+never share a text -- a pure
 function of the key, so it needs no shuffle, no global rank and no collect,
 gives the same folds on every engine, and survives re-partitioning. Folds are
 close to, not exactly, equal in size.
@@ -20,7 +22,10 @@ def fold_of(keys: Sequence[str], n_splits: int = 5, seed: int = 42) -> Column:
     """Fold number in ``[0, n_splits)`` for the key columns."""
     if n_splits < 2:
         raise ValueError("n_splits must be at least 2")
-    text = F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in keys])
+    parts = [F.col(f"`{k}`").cast("string") for k in keys]
+    text = F.concat(
+        *[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("n")) for p in parts]
+    )
     digest = F.md5(F.concat(text, F.lit(f":{seed}")))
     bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     return (bucket % F.lit(n_splits)).cast("int")

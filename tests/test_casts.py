@@ -90,3 +90,24 @@ def test_integer_bounds_of_doubles(spark):
                                           (True, 4294967295), (True, 4294967296), (True, -1)]
     small = _run(spark, values, T.DoubleType(), "uint32")
     assert [small[i][0] for i in range(6)] == [False, False, False, True, False, False]
+
+
+def test_text_is_never_rounded_into_an_integer(spark):
+    texts_ = ["5.00000000001", "5.0", "5.", "+7", "5.0000000000000000000000000000000000000001", None]
+    df = spark.createDataFrame([(t,) for t in texts_], "t string").coalesce(1)
+    value, ok = coerce(F.col("t"), T.StringType(), "bigint")
+    assert [(r.v, r.ok) for r in df.select(value.alias("v"), ok.alias("ok")).collect()] == [
+        (None, False), (5, True), (5, True), (7, True), (None, False), (None, True)
+    ]
+
+
+def test_a_time_of_day_is_not_dropped_by_a_date(spark):
+    rows = [("2024-01-01 13:45",), ("2024-01-01",), ("2024-01-01 00:00:00",), (None,), ("nonsense",)]
+    df = spark.createDataFrame(rows, "t string").coalesce(1)
+    value, ok = coerce(F.col("t"), T.StringType(), "date")
+    assert [(str(r.v), r.ok) for r in df.select(value.alias("v"), ok.alias("ok")).collect()] == [
+        ("None", False), ("2024-01-01", True), ("2024-01-01", True), ("None", True), ("None", False)
+    ]
+    stamps = df.selectExpr("try_cast(t as timestamp) as t")
+    value, ok = coerce(F.col("t"), T.TimestampType(), "date")
+    assert [r.ok for r in stamps.select(ok.alias("ok")).collect()] == [False, True, True, True, True]

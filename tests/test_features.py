@@ -15,10 +15,10 @@ from tablewright.functions.features import (
 )
 
 
-def test_build_columns_by_name_and_index():
-    assert build_columns(col1=True, col2=False, col3=True) == ["col1", "col3"]
-    assert build_columns(index={3: True, 2: False, 1: True}) == [3, 1]
-    assert build_columns() == []
+def test_build_columns_keeps_what_is_switched_on():
+    assert build_columns(price=False, quantity=True, tax=False, discount=True) == ["quantity", "discount"]
+    assert build_columns(index={7: False, 0: True, 4: True}) == [0, 4]
+    assert build_columns(price=False) == build_columns() == []
 
 
 def test_transformer_spec_needs_both_keys():
@@ -41,6 +41,17 @@ def frame(spark):
         "id bigint, a double, b double, flag boolean, cat string")
 
 
+def test_one_hot_refuses_a_null_it_was_not_fitted_on(frame):
+    known = frame.where("cat IS NOT NULL")
+    expressions = OneHot().fit(known, ["cat"])
+    assert [n for _, n in expressions] == ["cat_x", "cat_y"]
+    with pytest.raises(Exception, match="unknown categories in column cat: null"):
+        frame.selectExpr(*[f"{e} AS `{n}`" for e, n in expressions]).collect()
+    ignored = OneHot(handle_unknown="ignore").fit(known, ["cat"])
+    rows = frame.orderBy("id").selectExpr(*[f"{e} AS `{n}`" for e, n in ignored]).collect()
+    assert tuple(rows[2]) == (0.0, 0.0)
+
+
 def test_select_by_dtype(frame):
     assert select_by_dtype(frame.schema, "number") == ["id", "a", "b"]
     assert select_by_dtype(frame.schema, "category") == ["cat"]
