@@ -10,6 +10,7 @@ driver.
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -32,11 +33,20 @@ def grid(choices: Mapping[str, Sequence]) -> list[dict]:
 
 
 def sample_trials(choices: Mapping[str, Sequence], n_trials: int, seed: int = 42) -> list[dict]:
-    """F16: a seeded sample without replacement from the combinations."""
-    combos = grid(choices)
-    if n_trials >= len(combos):
-        return combos
-    return random.Random(seed).sample(combos, n_trials)
+    """F16: a seeded sample without replacement from the combinations.
+
+    Combinations are drawn by number, so the whole product is never built.
+    """
+    total = math.prod(len(v) for v in choices.values())
+    picked = range(total) if n_trials >= total else random.Random(seed).sample(range(total), n_trials)
+    trials = []
+    for number in picked:
+        trial = {}
+        for key, values in reversed(choices.items()):
+            number, at = divmod(number, len(values))
+            trial[key] = values[at]
+        trials.append({k: trial[k] for k in choices})
+    return trials
 
 
 def materialise(spark: SparkSession, frame: DataFrame) -> DataFrame:

@@ -57,6 +57,12 @@ class TrainResult:
     run_dir: str
 
 
+def _regressor_params(model) -> dict[str, str]:
+    """Every parameter of the fitted regressor, as ``model.<name>``."""
+    found = model.stages[-1].extractParamMap()
+    return {f"model.{p.name}": str(v) for p, v in found.items()}
+
+
 def train(
     spark: SparkSession,
     *,
@@ -97,7 +103,7 @@ def train(
 
     store = store or RunStore(spark)
     run_params = {"start_date": start, "end_date": end, "num_samples": num_samples,
-                  "raw_data": raw_location, **dict(params or {})}
+                  "raw_data": raw_location, **_regressor_params(model), **dict(params or {})}
     run_id = store.log_run(
         run_name=run_name or f"train_{end.isoformat()}",
         description=run_description,

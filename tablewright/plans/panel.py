@@ -18,11 +18,8 @@ from ..operators.model import DataModel, Field
 from ..sources.sql_files import load_sql_files
 from ..sources.tables import register_parquet_views
 
-# The event window of the test tables and their event types.
-START = date(2024, 1, 1)
-END = date(2024, 1, 30)
+# The event types.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-PARAMS = {"start_date": START, "end_date": END}
 IDS = ("id", "date")
 TARGET = "target"
 
@@ -61,13 +58,21 @@ def register_events(spark: SparkSession, sf_dir: str) -> None:
     register_parquet_views(spark, sf_dir, ["events"])
 
 
+def window(spark: SparkSession) -> dict[str, date]:
+    """Parameters of the panel: the first and last day of the registered events."""
+    first, last = spark.table("events").agg(
+        F.min(F.col("ts").cast("date")), F.max(F.col("ts").cast("date"))
+    ).first()
+    return {"start_date": first, "end_date": last}
+
+
 def panel_queries() -> dict[str, str]:
     return load_sql_files()
 
 
 def panel_assembly(spark: SparkSession, sf_dir: str, params=None) -> Assembly:
     register_events(spark, sf_dir)
-    return assemble(spark, panel_queries(), params or PARAMS)
+    return assemble(spark, panel_queries(), params or window(spark))
 
 
 def panel(spark: SparkSession, sf_dir: str, params=None) -> DataFrame:
@@ -79,7 +84,7 @@ def raw_panel(spark: SparkSession, sf_dir: str, params=None) -> DataFrame:
     from .snapshot import fetch_data
 
     register_events(spark, sf_dir)
-    return fetch_data(spark, params or PARAMS, panel_queries(), data_model=EventPanelRaw)
+    return fetch_data(spark, params or window(spark), panel_queries(), data_model=EventPanelRaw)
 
 
 def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,6 +105,7 @@ def column_steps(
     carry: Sequence[str] = ("id", "date"),
     center: Sequence[str] = ("spend", "clicks"),
     selected: Sequence[str] | None = None,
+    handle_unknown: str = "error",
 ) -> list[ColumnStep]:
     """The column steps of the ``prod`` model (everything but the regressor).
 
@@ -123,7 +124,7 @@ def column_steps(
         ColumnTransformer(
             build_transformers(
                 example=dict(transformer=Center(), columns=list(center)),
-                ohe=dict(transformer=OneHot(), columns=by_dtype("category")),
+                ohe=dict(transformer=OneHot(handle_unknown), columns=by_dtype("category")),
             ),
             remainder="passthrough",
             carry=carried,
@@ -153,11 +154,13 @@ def make_model(
     regressor=None,
     num_trees: int = 100,
     max_depth: int = 12,
+    handle_unknown: str = "error",
 ) -> Pipeline:
     """F8: the named model pipelines.
 
     ``prod``: :func:`column_steps` then a random forest. ``baseline``: linear
-    regression on the numeric columns only.
+    regression on the numeric columns only. ``handle_unknown="ignore"`` lets rows
+    with categories (or nulls) that were not fitted through as all zeros.
     """
     carried = [*carry, label]
     if name == "baseline":
@@ -171,34 +174,28 @@ def make_model(
         return Pipeline(stages=[numeric, RegressorStep(regressor or linear_regression(), label, carried)])
     if name != "prod":
         raise KeyError(f"unknown model {name!r}")
-    stages = column_steps(label=label, carry=carry, center=center, selected=selected)
+    stages = column_steps(label=label, carry=carry, center=center, selected=selected, handle_unknown=handle_unknown)
     reg = regressor or random_forest(num_trees=num_trees, max_depth=max_depth)
     return Pipeline(stages=[*stages, RegressorStep(reg, label, carried)])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give iterative fitting at least one partition per core.
+FIT_PARTITIONS = 32
 
-    A small snapshot reads back as one split, which would train on one core.
-    Large inputs already have enough splits and are left alone (no shuffle).
-    The round-robin repartition sorts rows first, so the result (and with it a
-    seeded forest) is deterministic.
+
+def laid_out(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
+    """Rows in ``partitions`` partitions by their keys, sorted inside each.
+
+    The layout depends on the keys and the stated number only, not on the input's
+    files or the size of the cluster, so a seeded forest is the same everywhere.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan:
-        # already shuffled (shuffle-partition parallelism); asking its RDD for
-        # the partition count would run the shuffle stages under AQE
-        return df
-    if df._jdf.rdd().getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    keys = [F.col(f"`{k}`") for k in keys]
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def _iterative(pipeline: Pipeline) -> bool:
-    """Whether the regressor makes many passes (trees, L-BFGS) -- worth spreading for.
+    """Whether the regressor makes many passes (trees, L-BFGS) -- worth laying out for.
 
-    The normal-equation solve is a single aggregate, where a repartition would
+    The normal-equation solve is a single aggregate, where a layout would
     only add a shuffle.
     """
     stages = pipeline.getStages()
@@ -209,12 +206,18 @@ def _iterative(pipeline: Pipeline) -> bool:
     return est is not None
 
 
-def fit(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+def fit(pipeline: Pipeline, df: DataFrame, *, partitions: int = FIT_PARTITIONS) -> PipelineModel:
     """Fit and flatten into one ``PipelineModel`` of Java stages.
 
     The last two stages are always the vector assembler and the regressor.
+    Iterative fits read the rows laid out by the carried identifiers in
+    ``partitions`` partitions; state more of them for larger tables.
     """
-    fitted = pipeline.fit(spread(df) if _iterative(pipeline) else df)
+    if _iterative(pipeline):
+        last = pipeline.getStages()[-1]
+        keys = [c for c in last.carry if c in df.columns and c != last.label]
+        df = laid_out(df, keys or df.columns, partitions)
+    fitted = pipeline.fit(df)
     flat = []
     for stage in fitted.stages:
         flat.extend(stage.stages if isinstance(stage, PipelineModel) else [stage])

@@ -15,7 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists, shared_dir
+from ..session import list_names, path_exists, shared_dir
 
 RUNS_SCHEMA = (
     "run_id string, parent_run_id string, run_name string, description string, env string, "
@@ -103,6 +103,24 @@ class RunStore:
         )
 
     # R2 / R3 / R4 -------------------------------------------------------------
+    def _claim_version(self, name: str) -> int:
+        """The next version number, claimed by creating its marker file (atomic where ``create`` is)."""
+        claims = f"{self.root}/models/{name}/claims"
+        taken = [int(n) for n in list_names(self.spark, claims) if n.isdigit()]
+        version = max(taken, default=0) + 1
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        while True:
+            marker = jvm.org.apache.hadoop.fs.Path(f"{claims}/{version}")
+            fs = marker.getFileSystem(conf)
+            fs.mkdirs(marker.getParent())
+            try:
+                if fs.createNewFile(marker):
+                    return version
+            except Exception:  # noqa: BLE001  another registration was faster
+                if not fs.exists(marker):
+                    raise
+            version += 1
+
     def register_model(
         self,
         name: str,
@@ -112,8 +130,7 @@ class RunStore:
         training_cutoff: date | None,
         example: DataFrame | None = None,
     ) -> int:
-        current = self.versions().where(F.col("model") == name).agg(F.max("version")).collect()[0][0]
-        version = int(current or 0) + 1
+        version = self._claim_version(name)
         path = f"{self.root}/models/{name}/version={version}"
         model.write().save(f"{path}/model")
         if example is not None:

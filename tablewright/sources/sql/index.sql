@@ -1,18 +1,12 @@
--- Identifiers of the panel: every user with events in the window, crossed
--- with every day of the window. The spine has (end - start + 1) rows, a size
--- fixed by the parameters, so it is broadcast and the users stay partitioned.
+-- Identifiers of the panel: every user with events in the window and every day of
+-- the window. Each user row explodes its own days, so there is no join.
 with users as (
     select distinct user_id as id
     from events
     where ts >= :start_date and ts < date_add(:end_date, 1)
-),
-
-days as (
-    select explode(sequence(:start_date, :end_date, interval 1 day)) as `date`
 )
 
-select /*+ BROADCAST(d) */
-    u.id,
-    d.`date`
-from users as u
-cross join days as d
+select
+    id,
+    explode(sequence(:start_date, :end_date, interval 1 day)) as `date`
+from users

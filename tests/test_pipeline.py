@@ -135,22 +135,23 @@ def test_train_and_predict_end_to_end(spark, tmp_path):
     from .conftest import SF001
 
     P.register_events(spark, SF001)
+    first, last = P.window(spark).values()
     store = RunStore(spark, str(tmp_path / "rec"))
     cache = SnapshotCache(spark, str(tmp_path / "snap"))
     pipe = make_model("prod", selected=["spend", "clicks", "err"], regressor=random_forest(num_trees=5, max_depth=4))
     result = train(spark, queries=P.panel_queries(), raw_model=P.EventPanelRaw,
-                   processed_model=P.EventPanelProcessed, pipeline=pipe, training_cutoff=P.END,
+                   processed_model=P.EventPanelProcessed, pipeline=pipe, training_cutoff=last,
                    num_samples=30, register_model="e2e", store=store, cache=cache, copy_raw=True)
     run = store.runs().where(F.col("run_id") == result.run_id).collect()[0]
     assert run.params["raw_data"].endswith("raw.parquet") and path_exists(spark, run.params["raw_data"])
     assert result.version == 1 and 0.0 <= result.score <= 1.0
     queries = {k: v for k, v in P.panel_queries().items() if k != "target"}
     out = predict_job(spark, queries=queries, raw_model=P.EventPanelInputs, processed_model=P.EventPanelPredict,
-                      model_name="e2e", start_date=P.START, num_samples=30, store=store, cache=cache)
+                      model_name="e2e", start_date=first, num_samples=30, store=store, cache=cache)
     assert out.columns == ["id", "date", "prediction"]
     assert out.count() == spark.sql("select count(distinct user_id) * 30 from events").collect()[0][0]
     again = train(spark, queries=P.panel_queries(), raw_model=P.EventPanelRaw,
-                  processed_model=P.EventPanelProcessed, pipeline=pipe, training_cutoff=P.END,
+                  processed_model=P.EventPanelProcessed, pipeline=pipe, training_cutoff=last,
                   num_samples=30, store=store, cache=cache)
     pointer = store.runs().where(F.col("run_id") == again.run_id).collect()[0].params["raw_data"]
     assert "/data/key=" in pointer and path_exists(spark, pointer)
@@ -166,3 +167,35 @@ def test_signature_mismatch_is_refused(spark, panel, tmp_path):
         store.check_signature(path, panel.withColumn("spend", F.col("spend").cast("string")))
     with pytest.raises(ValueError, match="missing column 'clicks'"):
         store.check_signature(path, panel.drop("clicks"))
+
+
+def test_the_forest_depends_on_the_stated_layout_only(spark):
+    """The same rows in other files and partitions give the same forest."""
+    from tablewright.plans.pipeline import fit
+
+    rows = [(i, float(i % 7), float(i % 3), float(i % 5)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, spend double, clicks double, target double")
+    pipe = lambda: make_model("prod", selected=["spend", "clicks"], carry=["id"],
+                              regressor=random_forest(num_trees=4, max_depth=4))
+    totals = [
+        sum(r.prediction for r in fit(pipe(), d).transform(df).orderBy("id").collect())
+        for d in (df.repartition(1), df.repartition(2), df.repartition(13).orderBy("spend"))
+    ]
+    assert totals[0] == totals[1] == totals[2]
+
+
+def test_versions_are_claimed_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = RunStore(spark, str(tmp_path / "claims"))
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda _: store._claim_version("m"), range(16)))
+    assert sorted(got) == list(range(1, 17))
+
+
+def test_fold_keys_never_share_a_text(spark):
+    from tablewright.operators.folds import kfold_assign
+
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "a"), ("a", None)], "x string, y string")
+    folds = [r.fold for r in kfold_assign(df, ["x", "y"], n_splits=1_000_003).collect()]
+    assert len(set(folds)) == 4
