@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -122,9 +122,36 @@ class SnapshotCache:
         row = self.spark.createDataFrame([(key, path, kind, now.replace(tzinfo=None))], MANIFEST_SCHEMA)
         row.coalesce(1).write.parquet(f"{folder}/{stamp}_{run}")
 
-    def clear(self) -> None:
-        """Invalidate every snapshot published so far (append-only)."""
+    def clear(self, recorded: Iterable[str] = ()) -> list[str]:
+        """Invalidate every snapshot published so far and free their files (see :meth:`purge`)."""
         self.publish("", "", kind="clear")
+        return self.purge(recorded)
+
+    def purge(self, recorded: Iterable[str] = ()) -> list[str]:
+        """Delete the data of snapshots that no lookup can return; the folders removed.
+
+        These are cleared and expired ones, and writes that failed longer than
+        the time-to-live ago. Paths in ``recorded`` (snapshots that runs name as
+        their raw data) stay, and so does everything outside this cache's root.
+        """
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        now_ms = int(datetime.now(timezone.utc).timestamp() * 1000)
+        cleared = max((t for t, _ in self._stamps(list_names(self.spark, f"{self.manifest}/clear"))), default=0)
+        limit = now_ms - self.ttl.total_seconds() * 1000
+        keep, gone = {p.rstrip("/") for p in recorded}, []
+        for folder in list_names(self.spark, f"{self.root}/data"):
+            stamps = {run: t for t, run in self._stamps(list_names(self.spark, f"{self.manifest}/{folder}"))}
+            for run in list_names(self.spark, f"{self.root}/data/{folder}"):
+                path = f"{self.root}/data/{folder}/{run}"
+                hpath = jvm.org.apache.hadoop.fs.Path(path)
+                fs = hpath.getFileSystem(conf)
+                if run in stamps:
+                    stale = stamps[run] <= cleared or stamps[run] < limit
+                else:  # not published: being written, or failed
+                    stale = fs.getFileStatus(hpath).getModificationTime() < limit
+                if stale and path not in keep and fs.delete(hpath, True):
+                    gone.append(path)
+        return gone
 
 
 def fetch_data(

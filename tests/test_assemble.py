@@ -173,11 +173,32 @@ def test_snapshots_are_reused_and_rebuilt_when_anything_changes(shop, tmp_path):
     shop.sql(QUERIES["price"]).withColumn("paid", F.col("paid") + 1).coalesce(1).write.mode("overwrite").parquet(source)
     rewritten = build()
     assert rewritten != first
-    shop.sql("select orderkey, 1D as paid from a_prices").cache().createOrReplaceTempView("a_memory")
     cache.clear()
     assert build() not in (first, rewritten)
 
 
+def test_clear_frees_what_no_run_recorded(shop, tmp_path):
+    from datetime import timedelta
+
+    from tablewright.session import path_exists
+
+    cache = SnapshotCache(shop, str(tmp_path / "snap"))
+    paths = []
+    for least in (100, 200, 300):
+        queries = {**QUERIES, "index": f"select o_orderkey as orderkey from a_orders where o_orderkey <= {least}"}
+        out = fetch_data(shop, {}, queries, data_model=OrderTable, cache=cache)
+        paths.append(out.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://"))
+    other = tmp_path / "snap" / "elsewhere"
+    other.mkdir()
+    half_written = cache.new_path("k")
+    shop.range(1).write.parquet(half_written)
+    assert cache.purge() == []  # all fresh
+    assert sorted(cache.clear(recorded=[paths[1]])) == sorted([paths[0], paths[2]])
+    assert path_exists(shop, paths[1]) and other.exists() and path_exists(shop, half_written)
+    cache.ttl = timedelta(seconds=0)
+    assert half_written in cache.purge(recorded=[paths[1]])
+
+
 def test_views_over_memory_never_hit_a_snapshot_of_other_rows(shop, tmp_path):
     cache = SnapshotCache(shop, str(tmp_path / "snap"))
     queries = {**QUERIES, "price": "select orderkey, paid from a_memory"}
