@@ -22,9 +22,9 @@ row in each bucket. No bucket is expanded into pairs:
    others are verified too.
 
 Every pair that shares a bucket is therefore verified or already connected. The
-only loss is a pair at or above the threshold that shares no bucket: with the
-default 30 bands of 5 rows at similarity 0.85 the chance is
-(1 - 0.85**5)**30 = 2e-8 (``band_plan`` picks the number of bands for any threshold).
+only loss is a pair at or above the threshold that shares no bucket: ``band_plan``
+takes as many bands of 5 rows as bring that chance below ``MISS`` at the threshold
+itself (28 at similarity 0.85, 41 at 0.8); above it the chance is smaller still.
 
 Shingles are compared by 64-bit hashes. A document without words has an empty
 set and no links. Null text counts as empty. Rows with the same id are one node,
