@@ -113,12 +113,19 @@ class RunStore:
             marker = jvm.org.apache.hadoop.fs.Path(f"{claims}/{version}")
             fs = marker.getFileSystem(conf)
             fs.mkdirs(marker.getParent())
-            try:
-                if fs.createNewFile(marker):
-                    return version
-            except Exception:  # noqa: BLE001  another registration was faster
-                if not fs.exists(marker):
-                    raise
+            if fs.getScheme() == "file":
+                # Hadoop's local file system checks and creates in two steps; this is one
+                mine = jvm.java.io.File(fs.makeQualified(marker).toUri().getPath()).createNewFile()
+            else:
+                try:
+                    fs.create(marker, False).close()
+                    mine = True
+                except Exception:  # noqa: BLE001  another registration was faster
+                    if not fs.exists(marker):
+                        raise
+                    mine = False
+            if mine:
+                return version
             version += 1
 
     def register_model(
