@@ -10,7 +10,7 @@ from tablewright.session import shared_dir
 
 # Arrow batches of the Python stages: rows and bytes in one batch.
 BATCH_ROWS = 1000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def work_dir(spark: SparkSession) -> str:
