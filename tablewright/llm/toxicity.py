@@ -17,7 +17,10 @@ sample, so it never meets its own counts. Texts without words get the prior.
 
 Learning. Labels come only from documents whose crc32(doc_id as text) mod 5 is
 not 0, at most ``MAX_ROWS`` of each class, those of least seeded digest (a stated
-bound for fitting a classifier; all rows are used below it). Counting runs as a
+bound for fitting a classifier; all rows are used below it). Both classes are
+counted over all those labels: the prior is their share, and in the calibration
+a row stands for as many as its class has rows in the sample, so the bound does
+not move the scores. Counting n-grams runs as a
 grouped aggregate over the n-grams of those rows. Every whole text of the table
 is then scored in one pass; label, language, source and id are no inputs.
 
@@ -201,9 +204,10 @@ def features(block: arrays.Block, model) -> np.ndarray:
     return out
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0):
-    """Weights of a ridge logistic regression, classes weighed as they occur (Newton steps)."""
-    centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+def fit_logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray, ridge: float = 1.0):
+    """Weights of a ridge logistic regression, each row counted ``times`` (Newton steps)."""
+    centre = np.average(x, axis=0, weights=times)
+    scale = np.sqrt(np.average((x - centre) ** 2, axis=0, weights=times)) + 1e-9
     z = np.column_stack([np.ones(len(x)), (x - centre) / scale])
     w = np.zeros(z.shape[1])
     penalty = np.full(len(w), ridge)
@@ -211,7 +215,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0):
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         step = np.linalg.solve(
-            (z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(penalty + 1e-9), z.T @ (y - p) - penalty * w
+            (z * (times * (p * (1 - p) + 1e-9))[:, None]).T @ z + np.diag(penalty + 1e-9),
+            z.T @ (times * (y - p)) - penalty * w,
         )
         w = w + step
         if np.abs(step).max() < 1e-8:
@@ -258,26 +263,26 @@ def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(keys)), *columns], names=["gram", *GROUPS])
 
 
-def _training(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folder: str) -> DataFrame:
-    """``part, toxic, text``: the bounded sample of labelled rows outside the held-out fold."""
+def _training(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folder: str):
+    """``part, toxic, text``: the bounded sample of labelled rows outside the held-out fold; all such rows by class."""
     marked = (
         labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic"))
         .where(F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & (fold_of(F.col("id")) != HELD_OUT))
         .groupBy("id").agg(F.max("toxic").alias("toxic"))
     )
+    copies = docs.select(F.col(id_col).cast("long").alias("id")).groupBy("id").agg(F.count("*").alias("copies"))
+    marked = written(marked.join(copies, "id"), folder, "marked")
+    totals = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.sum("copies").alias("n")).collect()}
     digest = F.xxhash64(F.lit("toxicity"), F.col("id"))
     sample = None
     for value in (0, 1):
-        part = marked.where(F.col("toxic") == value).orderBy(digest, "id").limit(MAX_ROWS)
+        part = marked.where(F.col("toxic") == value).select("id", "toxic").orderBy(digest, "id").limit(MAX_ROWS)
         sample = part if sample is None else sample.union(part)
     sample = written(sample, folder, "sample")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     part = F.pmod(F.xxhash64(F.lit("part"), F.col("id")), F.lit(PARTS))
-    return written(
-        texts.join(F.broadcast(sample), "id").select(part.alias("part"), "toxic", "text"), folder, "training"
-    )
-
-
+    rows = texts.join(F.broadcast(sample), "id").select(part.alias("part"), "toxic", "text")
+    return written(rows, folder, "training"), totals
 
 
 def _feature_rows(shared):
@@ -305,11 +310,10 @@ def fit(
     spark = docs.sparkSession
     small_batches(spark)
     folder = work_dir(spark)
-    rows = _training(docs, labels, id_col, text_col, label_col, folder)
-    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    rows, totals = _training(docs, labels, id_col, text_col, label_col, folder)
     empty = np.zeros(0)
-    if not n.get(0) or not n.get(1):
-        prior = 1.0 if n.get(1) else 0.0
+    if not totals.get(0) or not totals.get(1):
+        prior = 1.0 if totals.get(1) else 0.0
         return Model(np.zeros(0, U), empty, np.zeros(0, U), empty, empty, empty, empty, prior)
     counts = (
         rows.select(F.col("part").cast("int").alias("part"), "toxic", "text")
@@ -337,8 +341,9 @@ def fit(
     x = reduce(DataFrame.union, rated).orderBy("toxic", *COLUMNS).toArrow()
     llr = ratios(list(range(PARTS)))
     y = x["toxic"].to_numpy().astype(float)
-    prior = n[1] / (n[0] + n[1])
-    found = fit_logistic(np.column_stack([x[c].to_numpy() for c in COLUMNS]), y)
+    prior = totals[1] / (totals[0] + totals[1])
+    times = np.where(y == 1, totals[1] / max(1, (y == 1).sum()), totals[0] / max(1, (y == 0).sum()))
+    found = fit_logistic(np.column_stack([x[c].to_numpy() for c in COLUMNS]), y, times)
     return Model(*llr, *found, prior)
 
 

@@ -56,3 +56,22 @@ def test_probabilities_after_a_context_sum_to_one():
     assert ((backoff > 0) & (backoff <= 1)).all()
     _, llr, _, rest = toxicity.fit_counts(grams, counts, counts)
     assert np.allclose(llr, 0) and np.allclose(rest, 0)  # equal models tell nothing
+
+
+def test_scores_do_not_move_with_the_row_bound(spark, monkeypatch):
+    """Below the class counts, the bound changes neither the prior nor the scores of clean text."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    empty = edge.table(spark).where("doc_id = 2")
+
+    def run():
+        model = toxicity.fit(docs, labels)
+        got = {r.doc_id: r.score for r in toxicity.score_documents(docs, model).collect()}
+        clean = [got[r.doc_id] for r in labels.collect() if r.toxic == 0 and brute.held_out(r.doc_id)]
+        return toxicity.score_documents(empty, model).first().score, np.array(clean)
+
+    prior, clean = run()
+    monkeypatch.setattr(toxicity, "MAX_ROWS", 250)
+    bounded_prior, bounded = run()
+    assert bounded_prior == prior
+    assert abs(bounded.mean() - clean.mean()) < 0.02
