@@ -154,7 +154,7 @@ def shingles(words: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray,
         return np.zeros(0, U), np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(counts)), counts)
     value = np.zeros(max(0, n - k + 1), U)
-    for j in range(k):
+    for j in range(k if n >= k else 0):
         value = value * U(0x2545F4914F6CDD1D) + words[j:n - k + 1 + j]
     inside = owner[:n - k + 1] == owner[k - 1:] if n >= k else np.zeros(0, bool)
     out, who = mix64(value[inside]), owner[:n - k + 1][inside] if n >= k else np.zeros(0, np.int64)

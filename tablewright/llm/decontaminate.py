@@ -6,10 +6,13 @@ if some window of as many words as the item has a weighted similarity
 (sum of minima / sum of maxima of the shingle weights) of at least ``threshold``.
 
 1. Windows. Every position of every document is looked up among the shingles of
-   the benchmark. A window can only reach the threshold if it shares a shingle
-   with an item, so each shared shingle at word i, being shingle j of an item of
-   n words, proposes the item-sized window of n words at i - j; all other windows
-   have similarity 0.
+   the benchmark. Similarity t of bags of a and b shingles takes a sum of minima of
+   at least t (a + b) / (1 + t), and a window's positions that hold a shingle of the
+   item, wherever it stands there, are no fewer than that sum. So every window of
+   n words (the whole text if it is shorter) with that many such positions is
+   proposed for an item of n words, in whatever order its parts stand; all others
+   stay below the threshold. At the edges of a text, the part inside it of a window
+   that sticks out is proposed as well if a shingle stands where the item has it.
 2. Fingerprints. Each proposed window gets a 128-bit SimHash of its weighted
    shingles, each item likewise.
 3. Search. Fingerprints are cut into 16 blocks of 8 bits. If two differ in at
@@ -20,8 +23,9 @@ if some window of as many words as the item has a weighted similarity
    weighted similarity of their full shingle bags.
 
 At similarity 0.8 the expected distance is about 19 of 128 bits with a deviation
-of 4; the default radius of 40 is five deviations out. Items with fewer than five
-words are one shingle: their whole word sequence.
+of 4; the default radius of 40 is five deviations out. Items of k < 5 words are one
+shingle, their whole word sequence, and are looked up among the k-word sequences of
+every document; the first place of a text is reported.
 
 The benchmark is the query set: it is taken in blocks of ``ITEMS_AT_ONCE`` items,
 so the table sent to the tasks is bounded however many items there are. The
@@ -83,58 +87,120 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _items(rows: list[tuple]) -> dict:
-    """Lookup arrays of one block of items: shingle hash -> (item size, position) proposals."""
+    """Lookup arrays of one block of items: sorted shingle hashes with the item, its size and the shingle's position."""
     ids = [r[0] for r in rows]
     block = next(arrays.blocks(pa.array([r[1] for r in rows], pa.string()), size=1 << 62))
     hashes, bounds = _word_hashes(block)
-    keys, sizes, offsets, prints, bags = [], [], [], [], []
+    keys, owners, sizes, offsets, prints, bags = [], [], [], [], [], []
     for i in range(len(ids)):
         words = hashes[bounds[i]:bounds[i + 1]]
         values, _ = arrays.shingles(words, np.array([0, len(words)]), WORDS)
         keys.append(values)
+        owners.append(np.full(len(values), i))
         sizes.append(np.full(len(values), len(words)))
         offsets.append(np.arange(len(values)))
         bags.append(bag(words))
         prints.append(simhash(*bags[-1]) if len(words) else np.zeros(16, np.uint8))
-    keys, sizes, offsets = map(np.concatenate, (keys, sizes, offsets))
-    seen = np.unique(np.stack([keys, sizes.astype(U), offsets.astype(U)]), axis=1) if len(keys) else np.zeros((3, 0), U)
-    return {"ids": ids, "keys": seen[0], "sizes": seen[1].astype(np.int64), "offsets": seen[2].astype(np.int64),
+    keys, owners, sizes, offsets = map(np.concatenate, (keys, owners, sizes, offsets))
+    order = np.argsort(keys, kind="stable")
+    return {"ids": ids, "keys": keys[order], "owners": owners[order].astype(np.int64),
+            "sizes": sizes[order].astype(np.int64), "offsets": offsets[order].astype(np.int64),
             "prints": prints, "bags": bags}
 
 
-def _proposals(block: arrays.Block, keys: np.ndarray, sizes: np.ndarray, offsets: np.ndarray):
-    """(text, first word, words, hashes) of every item-sized window that shares a shingle in place."""
+def _needed(a, b: int, threshold: float):
+    """Least sum of minima with which bags of ``a`` and ``b`` shingles reach the threshold."""
+    return np.maximum(1, np.ceil(threshold * (a + b) / (1 + threshold) - 1e-9)).astype(np.int64)
+
+
+def _starts(at: np.ndarray, offset: np.ndarray, size: int, n_words: int, threshold: float) -> set:
+    """Windows of a text that can reach an item of ``size`` words: ``at`` are the words at
+    which shingles of the item begin, ``offset`` their positions in the item."""
+    own = size - WORDS + 1
+    places = np.unique(at)
+    within = lambda lo, hi: np.searchsorted(places, hi - WORDS, side="right") - np.searchsorted(places, lo)
+    found = set()
+    if n_words <= size:
+        if len(places) >= _needed(n_words - WORDS + 1, own, threshold):
+            found.add((0, n_words))
+    elif len(places) >= _needed(own, own, threshold):
+        # only windows around some place, each start once
+        lo = np.arange(max(0, places[0] - own + 1), min(n_words - size, places[-1]) + 1)
+        lo = lo[within(lo, lo + size) >= _needed(own, own, threshold)]
+        found.update(zip(lo.tolist(), (lo + size).tolist()))
+    start = np.unique(at - offset)
+    start = start[(start < 0) | (start + size > n_words)]
+    lo, hi = np.maximum(start, 0), np.minimum(start + size, n_words)
+    good = (hi - lo >= WORDS) & (within(lo, hi) >= _needed(hi - lo - WORDS + 1, own, threshold))
+    found.update(zip(lo[good].tolist(), hi[good].tolist()))
+    return found
+
+
+def _hits(keys: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every pair of an index into ``found`` and one into the sorted ``keys`` that holds the same hash."""
+    lo, hi = np.searchsorted(keys, found), np.searchsorted(keys, found, side="right")
+    times = hi - lo
+    which = np.repeat(np.arange(len(found)), times)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times) + lo[which]
+
+
+def _proposals(block: arrays.Block, lookup: tuple, threshold: float):
+    """(text, first word, end word, hashes) of every window that can reach the threshold with some item."""
+    keys, owners, sizes, offsets = lookup
     hashes, bounds = _word_hashes(block)
-    full, owner = arrays.shingles(hashes, bounds, WORDS)
-    at = np.searchsorted(keys, full)
-    hit = np.flatnonzero((at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == full))
-    if not len(hit):
-        return
-    # shingle s of text i starts at word s - (first shingle of text i) of the text
-    first = np.searchsorted(owner, np.arange(block.n))
-    last = np.searchsorted(keys, full[hit], side="right")
-    for i in np.unique(owner[hit]):
+    counts = np.diff(bounds)
+    windows: dict[int, set] = {}
+    long = sizes >= WORDS
+    values, text = arrays.shingles(hashes, bounds, WORDS)
+    which, entry = _hits(keys[long], values)
+    if len(which):
+        item, offset, size = owners[long][entry], offsets[long][entry], sizes[long][entry]
+        text, word = text[which], which - np.searchsorted(text, text[which])
+        order = np.lexsort((word, item, text))
+        text, item, offset, size, word = (x[order] for x in (text, item, offset, size, word))
+        cuts = np.flatnonzero((text[1:] != text[:-1]) | (item[1:] != item[:-1])) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(text)]):
+            i = int(text[lo])
+            found = _starts(word[lo:hi], offset[lo:hi], int(size[lo]), int(counts[i]), threshold)
+            if found:
+                windows.setdefault(i, set()).update(found)
+    for k in np.unique(sizes[~long]).tolist():
+        for i, at in _short(hashes, bounds, keys[sizes == k], k):
+            windows.setdefault(i, set()).add((at, at + k))
+    for i in sorted(windows):
         words = hashes[bounds[i]:bounds[i + 1]]
-        windows = set()
-        for s, lo, hi in zip(hit[owner[hit] == i], at[hit][owner[hit] == i], last[owner[hit] == i]):
-            for size, offset in zip(sizes[lo:hi].tolist(), offsets[lo:hi].tolist()):
-                start = int(s - first[i]) - offset
-                # the part of the window inside the text
-                windows.add((max(0, start), min(len(words), start + size)))
-        for lo, hi in sorted(windows):
-            yield int(i), lo, hi, words[lo:hi]
-
-
-def _fingerprint(shared):
+        for lo, hi in sorted(windows[i]):
+            yield i, lo, hi, words[lo:hi]
+
+
+def _short(hashes: np.ndarray, bounds: np.ndarray, keys: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """(text, word) of the first place of every item of ``k`` < WORDS words in every text."""
+    n = len(hashes) - k + 1
+    if n <= 0:
+        return []
+    # the hash of a word sequence shorter than a shingle, as arrays.shingles has it
+    value = np.full(n, k, U)
+    for j in range(k):
+        value = value * U(0x2545F4914F6CDD1D) + hashes[j:n + j]
+    value = arrays.mix64(value ^ U(0x5DEECE66D))
+    at = np.flatnonzero(np.isin(value, keys))
+    text = np.searchsorted(bounds, at, side="right") - 1
+    inside = at + k <= bounds[text + 1]
+    at, text = at[inside], text[inside]
+    _, first = np.unique(np.stack([text.astype(U), value[at]]), axis=1, return_index=True)
+    return [(int(text[f]), int(at[f] - bounds[text[f]])) for f in first]
+
+
+def _fingerprint(shared, threshold: float):
     """(id, text) -> one row per proposed window with its SimHash and shingle bag."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sizes, offsets = shared.value
+        lookup = shared.value
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for block in arrays.blocks(batch.column(1)):
                 out = {"id": [], "start": [], "words": [], "print": [], "items": [], "weights": []}
-                for i, lo, hi, words in _proposals(block, keys, sizes, offsets):
+                for i, lo, hi, words in _proposals(block, lookup, threshold):
                     values, weights = bag(words)
                     out["id"].append(ids[block.first + i])
                     out["start"].append(lo)
@@ -226,10 +292,10 @@ def find_leaks(
         part = _items([tuple(r) for r in items.where(block_of == b).toLocalIterator()] or [(None, "")])
         if not len(part["keys"]):
             continue
-        lookup = spark.sparkContext.broadcast((part["keys"], part["sizes"], part["offsets"]))
+        lookup = spark.sparkContext.broadcast(tuple(part[c] for c in ("keys", "owners", "sizes", "offsets")))
         windows = written(
             texts.mapInArrow(
-                _fingerprint(lookup),
+                _fingerprint(lookup, threshold),
                 "id long, start long, words long, print array<int>, items array<long>, weights array<long>",
             ),
             folder, f"windows_{b}",

@@ -81,3 +81,23 @@ def test_edge_cases(spark):
     assert decontaminate.find_leaks(docs, items.where("false")).collect() == []
     assert decontaminate.find_leaks(edge.empty(spark), items).collect() == []
     assert decontaminate.decontaminate(docs, items).count() == len(edge.ROWS) - 4  # a row without an id stays
+
+
+def test_reordered_parts_and_items_of_few_words_are_found(spark):
+    words = [f"w{n}" for n in range(60)]
+    items = [(1, " ".join(words)), (2, "q1 q2 q3"), (3, "single"), (4, "a b c d e f g h"), (5, "r s t u v " * 4)]
+    swapped = " ".join(words[30:] + words[:30])
+    thirds = " ".join(words[40:] + words[20:40] + words[:20])  # three parts: 48 of 56 shingles, below 0.8
+    docs = [
+        (1, swapped), (2, f"x y z {swapped} x y z"), (3, thirds), (4, f"before Q1, q2 q3 after q1 q2 q3 {swapped}"),
+        (5, "q1 q2"), (6, "q1 q2 q3"), (7, "many a single word, single again"), (8, "q1 q2 x q3"), (9, None), (10, ""),
+        (11, "x " * 7 + "a b c d e f g h" + " x" * 7), (12, "r s t u v " * 9), (13, "single"),
+    ]
+    got = decontaminate.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    found = {(r.doc_id, r.item_id): r.similarity for r in got}
+    assert found == _brute(docs, items, 0.8)
+    assert {k for k in found if k[1] == 1} == {(1, 1), (2, 1), (4, 1)}
+    assert {k for k in found if k[1] in (2, 3)} == {(4, 2), (6, 2), (7, 3), (13, 3)}
+    assert next(r.start_word for r in got if (r.doc_id, r.item_id) == (4, 2)) == 1
