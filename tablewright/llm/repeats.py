@@ -39,7 +39,9 @@ again with narrower strips, down to one offset, where the core is the window
 itself and equality alone decides. Every level is a grouped count and exact.
 
 Texts are taken as UTF-8 bytes, null as empty. Matches never cross documents.
-Ids must be unique; extra columns are ignored; an empty table gives no rows.
+Every row gets a key of its own in a written table first, and all steps go by it,
+so rows with a null id or one id are documents like any other, with their own
+places and spans. Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -584,12 +586,18 @@ def remove_repeats(
     """
     small_batches(docs.sparkSession)
     folder = work_dir(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    spans = repeated_spans(texts, folder, length=length, gram=gram, hot=hot)
+    texts = written(
+        docs.select(
+            F.monotonically_increasing_id().alias("id"), F.col(id_col).cast("long").alias("doc"),
+            F.col(text_col).cast("string").alias("text"),
+        ),
+        folder, "texts",
+    )
+    spans = repeated_spans(texts.select("id", "text"), folder, length=length, gram=gram, hot=hot)
     per_doc = written(
         spans.groupBy("id").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), folder, "spans"
     )
-    out = texts.join(per_doc, "id", "left").select("id", "text", "spans").mapInArrow(
+    out = texts.join(per_doc, "id", "left").select("doc", "text", "spans").mapInArrow(
         _cut,
         "id long, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>, "
         "kept binary, kept_sha256 string",

@@ -48,6 +48,22 @@ def test_edge_cases(spark):
     assert repeats.remove_repeats(edge.empty(spark)).collect() == []
 
 
+def test_null_and_repeated_ids_are_documents_of_their_own(spark):
+    rnd = random.Random(9)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage, other = text(450), text(420)
+    big = 2**60 + 1
+    docs = [
+        (None, passage + text(50)), (1, text(30) + passage), (None, text(600)), (2, other + text(90)),
+        (2, text(500)), (2, text(70) + other), (big, text(20) + passage), (big + 1, text(700)), (None, None), (3, passage),
+    ]
+    want = sorted(brute.remove_repeats(list(enumerate(t for _, t in docs)), 400).items())
+    want = sorted((str(docs[n][0]), *row) for n, row in want)
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    got = repeats.remove_repeats(df).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in got) == want
+
+
 def test_pieces_of_a_long_text_give_the_places_of_the_whole(monkeypatch):
     import numpy as np
 
