@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
+    conversations,
     decontaminate,
     html_extract,
     licenses,
@@ -80,6 +81,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(documents(spark, sf_dir), words=3, percent=85)
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,6 +102,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_mix": op9_mix,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_repair_conversations": op11_repair_conversations,
     "pipeline": pipeline,
 }
 

@@ -72,3 +72,83 @@ def remove_repeats(docs, length):
 
 def held_out(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def damaged(rows):
+    """The contract's damage of (conv_id, turn, role, text) rows."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20
+        if kind == 0:
+            continue
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub(r"[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def faults(rows):
+    """blank, duplicate, truncated or none for each ordered (role, text)."""
+    seen, out = set(), []
+    for role, text in rows:
+        last = re.findall(r"[^\x20\x09-\x0D]", text)
+        out.append("blank" if not last else "duplicate" if (role, text) in seen else "truncated" if last[-1] not in ".!?" else None)
+        seen.add((role, text))
+    return out
+
+
+def repaired(rows):
+    """(cost, audit, lines) of the cheapest repair: every state of (s?(ua)+)? after every row, whole audits."""
+    step = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+    def better(best, state, way):
+        if state not in best or way[:2] < best[state][:2]:
+            best[state] = way
+            return True
+        return False
+
+    def inserted(best):
+        todo = list(best)
+        while todo:
+            state = todo.pop()
+            cost, audit, lines = best[state]
+            for x, role in (("u", "user:"), ("a", "assistant:")):
+                if (state, x) in step and better(best, step[state, x], (cost + 3, audit + "I", (*lines, role))):
+                    todo.append(step[state, x])
+        return best
+
+    level = {"": (0, "", ())}
+    for (role, text), fault in zip(rows, faults(rows), strict=True):
+        nxt = {}
+        for state, (cost, audit, lines) in inserted(dict(level)).items():
+            better(nxt, state, (cost + 4, audit + "D", lines))
+            if fault in ("blank", "duplicate"):
+                continue
+            more = 3 if fault else 0
+            for x, name, price, edit in ((role[:1], role, 0, "K"), ("u", "user", 3, "R"), ("a", "assistant", 3, "R")):
+                if (state, x) in step:
+                    better(nxt, step[state, x], (cost + price + more, audit + edit, (*lines, f"{name}:{text}")))
+        level = nxt
+    return min(v for k, v in inserted(level).items() if k in ("", "a"))
+
+
+def repair_report(rows):
+    """conv_id -> gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        mine = sorted((r[1:] for r in damaged(rows) if r[0] == conv), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        turns = {t for t, _, _ in mine if t is not None}
+        pairs = [(role, text) for _, role, text in mine]
+        found = Counter(faults(pairs))
+        illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(pairs, pairs[1:], strict=False))
+        cost, audit, lines = repaired(pairs)
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        out[conv] = (gaps, found["blank"], found["duplicate"], found["truncated"], illegal, cost, audit,
+                     hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return out
