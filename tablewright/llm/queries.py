@@ -17,6 +17,7 @@ from tablewright.llm import (
     repeats,
     token_counts,
     toxicity,
+    winnowing,
 )
 from tablewright.llm.license_texts import KNOWN, SPELLINGS
 from tablewright.llm.work import documents
@@ -85,6 +86,10 @@ def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(_table(spark, sf_dir, "conversations"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edit_report(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,6 +108,7 @@ QUERIES = {
     "op9_mix": op9_mix,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_repair_conversations": op11_repair_conversations,
+    "op12_fingerprints": op12_fingerprints,
     "pipeline": pipeline,
 }
 

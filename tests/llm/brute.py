@@ -152,3 +152,42 @@ def repair_report(rows):
         out[conv] = (gaps, found["blank"], found["duplicate"], found["truncated"], illegal, cost, audit,
                      hashlib.sha256("\n".join(lines).encode()).hexdigest())
     return out
+
+
+def winnowed(data, k, w):
+    """[(hash, position)] of every window's least gram hash, rightmost of equal ones."""
+    import xxhash
+
+    if not data:
+        return []
+    bits = (1 << 33) - 1
+
+    def signed(h):  # order of the 33 bits as the upper part of a signed number
+        return h - (1 << 33) if h >> 32 else h
+
+    grams = [xxhash.xxh64_intdigest(data[i:i + k], seed=42) & bits for i in range(max(1, len(data) - k + 1))]
+    out = set()
+    for i in range(max(1, len(grams) - w + 1)):
+        out.add(min((signed(h), -(i + j)) for j, h in enumerate(grams[i:i + w])))
+    return sorted(((h & bits, -p) for h, p in out), key=lambda x: x[1])
+
+
+def edit_report(rows, k, w):
+    """(doc_id, n_chars, sha, fingerprint, edited fingerprint, near_edited, near_next) of (doc_id, text), ids unique."""
+    rows = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0))
+
+    def near(a, b):
+        a, b = {h for h, _ in a}, {h for h, _ in b}
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    def shown(grams):
+        return " ".join(f"{h:x}:{p}" for h, p in grams)
+
+    own = [winnowed(t.encode(), k, w) for _, t in rows]
+    out = []
+    for i, (d, t) in enumerate(rows):
+        j, q = (i + 1) % len(rows), len(t) // 4
+        edited = t[:len(t) - q] + rows[j][1][:q]
+        e = winnowed(edited.encode(), k, w)
+        out.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), shown(own[i]), shown(e), near(own[i], e), near(own[i], own[j])))
+    return out

@@ -1,0 +1,62 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablewright.llm import winnowing
+
+from ..conftest import SF001
+from . import brute, edge
+
+
+def _got(df):
+    return sorted((tuple(r) for r in winnowing.edit_report(df).collect()), key=lambda r: (r[0] is not None, r[0] or 0))
+
+
+def test_report_matches_brute_force(spark):
+    df = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    assert _got(df) == brute.edit_report([tuple(r) for r in df.collect()], winnowing.K, winnowing.W)
+
+
+def test_short_odd_and_repetitive_texts(spark):
+    rng = random.Random(5)
+    texts = [None, "", "a", "abc", "a" * 11, "a" * 12, "a" * 31, "a" * 200, "ab" * 90, "é日😀" * 30, " \n\t"]
+    texts += ["".join(rng.choice("ab é😀") for _ in range(n)) for n in range(1, 90)]
+    rows = [(i * 7 % 1009, t) for i, t in enumerate(texts)] + [(None, "no id here, but some text of its own")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("tie", F.lit(1)).withColumn("bucket", F.lit(2))
+    assert _got(df.repartition(5)) == brute.edit_report(rows, winnowing.K, winnowing.W)
+
+
+@pytest.mark.parametrize("bits", [3, 6])
+def test_pieces_do_not_show(spark, monkeypatch, bits):
+    rows = [(i, "".join(random.Random(i).choice("abc ") for _ in range(400))) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = _got(df)
+    monkeypatch.setattr(winnowing, "PIECE_BITS", bits)
+    monkeypatch.setattr(winnowing, "PIECE", 1 << bits)
+    assert _got(df) == whole == brute.edit_report(rows, winnowing.K, winnowing.W)
+
+
+def test_shared_passages_of_a_window_are_always_found(spark):
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    rows = []
+    for i in range(60):
+        shared = word(winnowing.SPAN)
+        rows += [(2 * i, word(rng.randrange(300)) + shared + word(50)), (2 * i + 1, word(rng.randrange(300)) + shared)]
+    got = {r.doc_id: {g.hash for g in r.grams} for r in
+           winnowing.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[2 * i] & got[2 * i + 1] for i in range(60))
+
+
+def test_edge_rows(spark):
+    got = winnowing.edit_report(edge.table(spark)).collect()
+    assert len(got) == len(edge.ROWS)
+    by_text = {}
+    for r in got:
+        by_text.setdefault(r.doc_id, set()).add(r.fingerprint)
+    assert by_text[4] == by_text[5] == by_text[None] and by_text[1] == by_text[2] == {""}
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+    assert winnowing.edit_report(edge.empty(spark)).collect() == []
+    alone = winnowing.edit_report(spark.createDataFrame([(1, "one document of some words, alone in its table " * 3)], "doc_id long, text string")).collect()
+    assert alone[0].near_next == 1.0 and 0 < alone[0].near_edited < 1
