@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.llm import (
     conversations,
     decontaminate,
+    divergence,
     html_extract,
     licenses,
     line_dedup,
@@ -90,6 +91,10 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edit_report(documents(spark, sf_dir))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -109,6 +114,7 @@ QUERIES = {
     "op10_near_duplicates": op10_near_duplicates,
     "op11_repair_conversations": op11_repair_conversations,
     "op12_fingerprints": op12_fingerprints,
+    "op13_source_divergence": op13_source_divergence,
     "pipeline": pipeline,
 }
 
@@ -296,10 +302,53 @@ select doc_id, len(s)::bigint as n_shingles, component_id, doc_id = component_id
 from sets join least_id on least_id.node = sets.doc_id"""
 
 
+def _op13_sql() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    share = f"1 + ({divergence.SCALE}::hugeint * ({{0}} + {divergence.SMOOTH})) // ({{1}} + {divergence.SMOOTH} * g.v)"
+    return rf"""
+with d as (
+  select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all({lower}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents
+),
+t as (select rid, lang, source, unnest(terms) as term from d),
+kept as (
+  select lang, term, count(*) as total from t group by lang, term having count(distinct rid) >= {divergence.MIN_DOCS}
+),
+langs as (select lang, count(*) as v, sum(total) as n from kept group by lang),
+c as (select t.lang, t.source, t.term, count(*) as c from t join kept using (lang, term) group by all),
+sizes as (select lang, source, sum(c) as n from c group by all),
+g as (
+  select s.lang, s.source, coalesce(sizes.n, 0)::hugeint as n, coalesce(langs.v, 0)::hugeint as v, langs.n as lang_n
+  from (select distinct lang, source from d) s left join sizes using (lang, source) left join langs using (lang)
+),
+p as (
+  select g.lang, g.source, kept.term, coalesce(c.c, 0) as c,
+    {share.format("coalesce(c.c, 0)", "g.n")} as p, {share.format("kept.total", "g.lang_n")} as q
+  from g join kept using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = kept.term
+),
+sums as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+),
+parts as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(sums.value, 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join sums on sums.lang = a.lang and sums.source = a.source and sums.item = b.source
+  union all
+  select lang, source, 'term', term, p - q from p where c > 0 and p > q
+),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from parts
+)
+select lang, source, part, item, value::bigint as value, rank::int as rank
+from ranked where part = 'pair' or rank <= {divergence.TOP_TERMS}"""
+
+
 ORACLE_SQL = {
     "op5_quality_rules": _op5_sql(),
     "op6_line_dedup": f"select doc_id, source, n_lines, n_dropped, sha256(text) as text_sha256 from ({line_dedup_sql()})",
     "op8_license_scan": _op8_sql(),
     "op9_mix": mix_sql(),
     "op10_near_duplicates": _op10_sql(),
+    "op13_source_divergence": _op13_sql(),
 }

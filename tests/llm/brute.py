@@ -191,3 +191,33 @@ def edit_report(rows, k, w):
         e = winnowed(edited.encode(), k, w)
         out.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), shown(own[i]), shown(e), near(own[i], e), near(own[i], own[j])))
     return out
+
+
+def source_audit(rows, min_docs, top):
+    """Sorted (lang, source, part, item, value, rank) of (lang, source, text) rows."""
+    pattern = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    count, docs, groups = {}, Counter(), set()
+    for lang, source, text in rows:
+        lang, source = lang or "", source or ""
+        groups.add((lang, source))
+        terms = pattern.findall(ascii_lower(text))
+        count.setdefault((lang, source), Counter()).update(terms)
+        docs.update((lang, t) for t in set(terms))
+    out = []
+    for lang in {g for g, _ in groups}:
+        kept = [t for (g, t), n in docs.items() if g == lang and n >= min_docs]
+        sources = sorted(s for g, s in groups if g == lang)
+
+        def shares(c, kept=kept):
+            n = sum(c[t] for t in kept)
+            return {t: 1 + 10**9 * (c[t] + 5) // (n + 5 * len(kept)) for t in kept}
+
+        p = {s: shares(count[lang, s]) for s in sources}
+        usual = shares(sum((count[lang, s] for s in sources), Counter()))
+        for s in sources:
+            pair = [(sum(abs(p[s][t] - p[o][t]) for t in kept), o) for o in sources if o != s]
+            term = [(p[s][t] - usual[t], t) for t in kept if count[lang, s][t] > 0 and p[s][t] > usual[t]]
+            for part, items, most in (("pair", pair, None), ("term", term, top)):
+                items.sort(key=lambda x: (-x[0], x[1].encode()))
+                out += [(lang, s, part, o, v, i + 1) for i, (v, o) in enumerate(items[:most])]
+    return sorted(out)
