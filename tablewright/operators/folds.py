@@ -18,15 +18,19 @@ from pyspark.sql import functions as F
 FOLD = "fold"
 
 
+def key_text(keys: Sequence[str]) -> Column:
+    """One text for the key columns; different keys never share one."""
+    parts = [F.col(f"`{k}`").cast("string") for k in keys]
+    return F.concat(
+        *[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("n")) for p in parts]
+    )
+
+
 def fold_of(keys: Sequence[str], n_splits: int = 5, seed: int = 42) -> Column:
     """Fold number in ``[0, n_splits)`` for the key columns."""
     if n_splits < 2:
         raise ValueError("n_splits must be at least 2")
-    parts = [F.col(f"`{k}`").cast("string") for k in keys]
-    text = F.concat(
-        *[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("n")) for p in parts]
-    )
-    digest = F.md5(F.concat(text, F.lit(f":{seed}")))
+    digest = F.md5(F.concat(key_text(keys), F.lit(f":{seed}")))
     bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     return (bucket % F.lit(n_splits)).cast("int")
 

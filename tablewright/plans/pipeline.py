@@ -2,9 +2,9 @@
 
 Steps are Estimators. The column steps fit into ``SQLTransformer`` models (a
 projection that runs in the JVM); the final step assembles the remaining
-feature columns into a vector and fits a Spark regressor. A fitted pipeline is
-a flat ``PipelineModel`` of Java stages, so Spark ML persistence saves and
-loads it as is.
+feature columns into a vector and fits a regressor: Spark's own, or the unbounded
+forest of ``forest.py``. A fitted pipeline is a flat ``PipelineModel``, so Spark ML
+persistence saves and loads it as is.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from ..functions.features import (
     build_transformers,
     by_dtype,
 )
+from .forest import DeepForestRegressor
 
 FEATURES = "features"
 PREDICTION = "prediction"
@@ -68,17 +69,24 @@ class RegressorStep(Estimator):
         est = self.estimator.copy(
             {self.estimator.featuresCol: FEATURES, self.estimator.labelCol: self.label}
         )
+        if est.hasParam("keyCols") and not est.getOrDefault("keyCols"):
+            # draws follow the identifiers of a row, wherever it lies
+            est.set(est.keyCols, [c for c in self.carry if c in dataset.columns and c != self.label])
         model = est.fit(assembler.transform(dataset))
         return PipelineModel(stages=[assembler, model])
 
 
+def deep_forest(seed: int = 42, num_trees: int = 100, **kw) -> DeepForestRegressor:
+    """all features per split, bootstrap, fixed seed, trees grown until their leaves are pure."""
+    return DeepForestRegressor(numTrees=num_trees, seed=seed, **kw)
+
+
 def random_forest(seed: int = 42, num_trees: int = 100, max_depth: int = 12, **kw) -> RandomForestRegressor:
-    """all features per split, bootstrap, fixed seed.
+    """Spark's own forest, for a model of bounded depth (at most 30) and size.
 
-    Unlike the unbounded reference trees, Spark trees stop at ``max_depth``
-    (at most 30); node ids are cached and checkpointed (to the shared
-    checkpoint folder) for deep trees, which was faster than recomputing them
-    even on the test data; 512 MB per iteration means fewer passes per level.
+    All features per split, bootstrap, fixed seed; splits are on binned values.
+    Node ids are cached and checkpointed (to the shared checkpoint folder); 512 MB
+    per iteration means fewer passes per level.
     """
     return RandomForestRegressor(
         numTrees=num_trees,
@@ -153,13 +161,14 @@ def make_model(
     selected: Sequence[str] | None = None,
     regressor=None,
     num_trees: int = 100,
-    max_depth: int = 12,
+    max_depth: int | None = None,
     handle_unknown: str = "error",
 ) -> Pipeline:
     """F8: the named model pipelines.
 
-    ``prod``: :func:`column_steps` then a random forest. ``baseline``: linear
-    regression on the numeric columns only. ``handle_unknown="ignore"`` lets rows
+    ``prod``: :func:`column_steps` then a forest of unbounded trees (of Spark's
+    bounded ones if ``max_depth`` is given). ``baseline``: linear regression on the
+    numeric columns only. ``handle_unknown="ignore"`` lets rows
     with categories (or nulls) that were not fitted through as all zeros.
     """
     carried = [*carry, label]
@@ -175,8 +184,9 @@ def make_model(
     if name != "prod":
         raise KeyError(f"unknown model {name!r}")
     stages = column_steps(label=label, carry=carry, center=center, selected=selected, handle_unknown=handle_unknown)
-    reg = regressor or random_forest(num_trees=num_trees, max_depth=max_depth)
-    return Pipeline(stages=[*stages, RegressorStep(reg, label, carried)])
+    if regressor is None:
+        regressor = deep_forest(num_trees=num_trees) if max_depth is None else random_forest(num_trees=num_trees, max_depth=max_depth)
+    return Pipeline(stages=[*stages, RegressorStep(regressor, label, carried)])
 
 
 FIT_PARTITIONS = 32
@@ -195,19 +205,19 @@ def laid_out(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
 def _iterative(pipeline: Pipeline) -> bool:
     """Whether the regressor makes many passes (trees, L-BFGS) -- worth laying out for.
 
-    The normal-equation solve is a single aggregate, where a layout would
-    only add a shuffle.
+    The normal-equation solve is a single aggregate and a deep forest deals its
+    rows itself; a layout would only add a shuffle.
     """
     stages = pipeline.getStages()
     last = stages[-1] if stages else None
     est = getattr(last, "estimator", None)
     if isinstance(est, LinearRegression):
         return est.getSolver() == "l-bfgs"
-    return est is not None
+    return est is not None and not isinstance(est, DeepForestRegressor)
 
 
 def fit(pipeline: Pipeline, df: DataFrame, *, partitions: int = FIT_PARTITIONS) -> PipelineModel:
-    """Fit and flatten into one ``PipelineModel`` of Java stages.
+    """Fit and flatten into one ``PipelineModel``.
 
     The last two stages are always the vector assembler and the regressor.
     Iterative fits read the rows laid out by the carried identifiers in
