@@ -3,9 +3,9 @@
 For every host (a column, the source by default) the share of its pages that
 contain a line is compared with a ratio; lines above it are dropped from the
 pages of that host, and stay everywhere else. A line counts once per page, after
-trimming; blank lines are never counted and never dropped. Hosts with fewer than
-``min_pages`` pages containing the line keep it: on a host with three pages every
-line is on a third of them.
+trimming; blank lines are never counted and never dropped. A line of a single page
+is nothing its host repeats, so two pages (``min_pages``) are the least a share is
+taken of, whatever the size of the host.
 
 All counting is by a 128-bit digest of the line in grouped aggregates with
 map-side partial sums; a hot host or a hot line is only a large partial sum.
@@ -29,7 +29,7 @@ from tablewright.llm.work import work_dir, written
 _HOST, _DROP, _KEPT = "__line_dedup_host", "__line_dedup_drop", "__line_dedup_kept"
 
 RATIO = 0.05
-MIN_PAGES = 5
+MIN_PAGES = 2
 
 
 def _key(line: Column) -> Column:

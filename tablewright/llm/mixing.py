@@ -141,6 +141,12 @@ def mix(
     )
 
 
+def _first_words(text: Column, n: Column) -> Column:
+    """The text up to its n-th word, white space as it is."""
+    pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0)
+    return F.array_join(F.slice(pieces, F.lit(1), n), "")
+
+
 def mix_documents(
     docs: DataFrame,
     *,
@@ -151,18 +157,28 @@ def mix_documents(
     weights: tuple[int, ...] = WEIGHTS,
     seed: str = SEED,
 ) -> DataFrame:
-    """``docs`` with ``words_taken``: the words the mix takes of each document, repetitions counted.
+    """The mix itself: one row of ``docs`` for every repetition it takes.
 
-    A column of that name is replaced. Repeated rows stay separate documents.
+    ``repetition`` counts from 0, ``words_taken`` are the words of the row. Whole
+    repetitions have the whole text; the fractional one of the slice at the cut has
+    the text's first words, as many as it takes. A document that the mix takes
+    nothing of gives no row (nor does one without words). Columns of those names are
+    replaced. Repeated rows stay separate documents.
     """
     folder = work_dir(docs.sparkSession)
+    size = n_words(F.col(text_col))
     sized = docs.select(
-        F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"),
-        slice_of(F.col(id_col), seed).alias("slice"),
+        F.col(source_col).cast("string").alias("source"), size.alias("size"), slice_of(F.col(id_col), seed).alias("slice")
     )
     plan = _struct_plan(_plan(sized, max_epochs, weights), folder)
-    taken = _taken(n_words(F.col(text_col)), slice_of(F.col(id_col), seed), _PLAN, max_epochs)
+    taken = _taken(size, slice_of(F.col(id_col), seed), _PLAN, max_epochs)
+    joined = docs.join(plan, F.col(source_col).cast("string").eqNullSafe(F.col(f"{_PLAN}._source")))
+    counted = joined.withColumn(_PLAN, F.struct(size.alias("size"), taken.alias("taken"))).where(F.col(f"{_PLAN}.taken") > 0)
+    repetitions = F.sequence(F.lit(0), F.ceil(F.col(f"{_PLAN}.taken") / F.col(f"{_PLAN}.size")).cast("int") - 1)
+    left = F.col(f"{_PLAN}.taken") - F.col("repetition") * F.col(f"{_PLAN}.size")
+    words = F.least(left, F.col(f"{_PLAN}.size"))
+    cut = F.when(words < F.col(f"{_PLAN}.size"), _first_words(F.col(text_col), words.cast("int"))).otherwise(F.col(text_col))
     return (
-        docs.join(plan, F.col(source_col).cast("string").eqNullSafe(F.col(f"{_PLAN}._source")))
-        .withColumn("words_taken", taken).drop(_PLAN)
+        counted.withColumn("repetition", F.explode(repetitions)).withColumn("words_taken", words.cast("long"))
+        .withColumn(text_col, cut).drop(_PLAN)
     )

@@ -75,5 +75,16 @@ def test_mix_edge_cases(spark):
     assert len(got) == len(edge.ROWS)
     assert all(r.taken == 0 for r in got if r.doc_id in (1, 2, 3))
     assert mixing.mix(edge.empty(spark)).collect() == []
-    kept = mixing.mix_documents(edge.table(spark))
-    assert kept.columns == [*edge.table(spark).columns, "words_taken"] and kept.count() == len(edge.ROWS)
+    assert mixing.mix_documents(edge.empty(spark)).collect() == []
+    rows = mixing.mix_documents(edge.table(spark))
+    assert rows.columns == [*edge.table(spark).columns, "repetition", "words_taken"]
+    assert sum(r.words_taken for r in rows.collect()) == sum(r.taken for r in got)
+
+
+def test_a_hot_source_gives_its_target_only(spark):
+    rows = [(i, f"w{i} " * (5 + i % 9), "hot" if i % 3 else ("a", "b", None)[i % 9 // 3]) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {(r.source, r.target) for r in mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").select("source", "target").collect()}
+    got = {r.source: r.n for r in mixing.mix_documents(docs).groupBy("source").sum("words_taken").toDF("source", "n").collect()}
+    assert all(abs(got[s] - t) <= 25 for s, t in want) and len(want) == 4
+    assert mixing.mix_documents(docs).select("doc_id").distinct().count() < 3000

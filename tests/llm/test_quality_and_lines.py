@@ -68,8 +68,16 @@ def test_lines_match_brute_force(spark):
     assert sorted(((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got), key=str) == _lines_brute(rows, 0.3, 5)
 
 
+def test_the_ratio_alone_decides_on_small_hosts(spark):
+    rows = [(i, "four", f"menu\nbody {i}\n{'pair' if i < 2 else 'other'}") for i in range(4)] + [(9, "one", "menu\nbody 1")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate_lines(df, counts=False).collect()}
+    assert got == {**{i: f"body {i}" for i in range(4)}, 9: "menu\nbody 1"}
+
+
 def test_line_edge_cases(spark):
     got = line_dedup.drop_boilerplate_lines(edge.table(spark), counts=False)
     assert got.columns == edge.table(spark).columns
-    assert got.exceptAll(edge.table(spark)).count() == 0  # too few pages: nothing goes
+    want = _lines_brute([(r[0], r[3], r[1]) for r in edge.ROWS], line_dedup.RATIO, line_dedup.MIN_PAGES)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(((d, t) for d, t, *_ in want), key=str)
     assert line_dedup.drop_boilerplate_lines(edge.empty(spark)).collect() == []

@@ -18,6 +18,25 @@ def test_query_matches_sql(spark, name):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == want
 
 
+def _check_mix(before, mixed):
+    """Words of the returned rows against the targets of their sources, and texts against their documents."""
+    from tablewright.llm import mixing
+
+    want = {r.doc_id: r.taken for r in mixing.mix(before).collect()}
+    text = {r.doc_id: r.text for r in before.collect()}
+    got, by_source = {}, {}
+    for r in mixed.collect():
+        assert len(brute.words(r.text)) == r.words_taken > 0
+        assert text[r.doc_id].startswith(r.text) and r.n_chars == len(r.text)
+        got.setdefault(r.doc_id, []).append(r.repetition)
+        by_source.setdefault(r.source, [0, 0])[0] += r.words_taken
+        want[r.doc_id] -= r.words_taken
+    assert not any(want.values()) and all(sorted(v) == list(range(len(v))) for v in got.values())
+    target = {r.source: r.target for r in mixing.mix(before).join(before.select("doc_id", "source"), "doc_id").collect()}
+    assert all(abs(by_source.get(s, [0])[0] - t) <= 25 for s, t in target.items())
+    assert len(got) < len(text)
+
+
 def test_stages_act_on_what_the_one_before_kept(spark):
     from tablewright.llm import toxicity
     from tablewright.llm.work import work_dir, written
@@ -41,8 +60,10 @@ def test_stages_act_on_what_the_one_before_kept(spark):
             want = brute.near_duplicates(rows, 5, 80)
             assert kept[name] == {d for d, (_, c) in want.items() if d == c}
         if name == "mixing":
-            assert kept[name] == kept["decontamination"] and docs.columns == [*columns, "words_taken"]
-    assert corpus_pipeline.run(spark, SF01).count() == len(kept["mixing"])
+            assert docs.columns == [*columns, "repetition", "words_taken"]
+            _check_mix(before, docs)
+            rows = docs.count()
+    assert corpus_pipeline.run(spark, SF01).count() == rows
 
 
 def test_stages_take_awkward_rows(spark):
