@@ -4,7 +4,7 @@
 returns a DataFrame. ``run`` writes every stage as Parquet to the shared folder
 and reads it again as the next stage's documents, so lineage is cut and a lost
 executor costs one stage's task. All stages but the last return the columns of
-``documents``; the last adds how often a document is taken.
+``documents``; the last gives a row for every repetition that the mix takes of one.
 """
 
 from __future__ import annotations
@@ -41,8 +41,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with the words the mix takes of it (``words_taken``, repetitions counted)."""
-    return mixing.mix_documents(docs)
+    """The rows of the mix: each document as often as it is taken, none of those it takes nothing of."""
+    return mixing.mix_documents(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 STAGES = [
