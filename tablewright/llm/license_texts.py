@@ -188,3 +188,20 @@ SPELLINGS = (
     ("http:", "https:"),
     ("(c)", "copyright"),
 )
+
+# Digests of the normal forms of long licence texts: (identifier, characters, SHA-256).
+FULL_TEXTS = (
+    ("Apache-2.0", 9896, "bc6295946df76823e8bbfd8ff371165c83fd37b3abe95170a41b04e982e42400"),
+    ("Artistic-1.0-Perl", 5833, "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702"),
+    ("CC0-1.0", 6622, "c9fc766f3657f72225d157a552169fb6bc0ba652f321dd55458ae0b62f996a32"),
+    ("GFDL-1.2", 19619, "0a63ed08b292f833611b16a34ce38807aac8da8bce65d85158f547c05edfc4bc"),
+    ("GFDL-1.3", 21988, "18d9af45058880798d964809044ca8daa534515e3a4929088656d26565d60bd8"),
+    ("GPL-1.0", 11773, "490a17f9c44b8e7737e6d5b52eebf4c3610f67ee98c4ad515329fa012eebe42d"),
+    ("GPL-2.0", 17125, "2d0b5e012e036a2690fe078a56f4c6dabcb7e2c352ef799e5e2074dab15ef4ae"),
+    ("GPL-3.0", 33350, "26dff0b992d87c96e8460c7ae4aa6814a0790fd7397e2fc4b537a8c6add4c09e"),
+    ("LGPL-2.0", 24130, "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", 25217, "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0", 7104, "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", 22328, "28f091c3791f38f98ba601e624761cc4e0acaba26ff62f66e3a19c2d399111bc"),
+    ("MPL-2.0", 14350, "c6a506eb968bd2cfbb1ea819736390e6ef797bab6d08beb74875c8a0dbc1d917"),
+)

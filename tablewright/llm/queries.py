@@ -20,7 +20,7 @@ from tablewright.llm import (
     toxicity,
     winnowing,
 )
-from tablewright.llm.license_texts import KNOWN, SPELLINGS
+from tablewright.llm.license_texts import FULL_TEXTS, KNOWN, SPELLINGS
 from tablewright.llm.work import documents
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -205,15 +205,22 @@ def _op8_sql() -> str:
     def quoted(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 
-    form = f"lower(regexp_replace(@text, {quoted(licenses.COPYRIGHT_LINE)}, ' ', 'g'))"
+    form = "@text"
+    for pattern in (licenses.COPYRIGHT_LINE, licenses.HOLDER_LINE):
+        form = f"regexp_replace({form}, {quoted(pattern)}, ' ', 'g')"
+    form = f"lower({form})"
     for variant, canonical in SPELLINGS:
         form = f"regexp_replace({form}, {quoted(licenses._pattern(variant))}, {quoted(canonical)}, 'g')"
     form = f"translate({form}, {quoted(licenses.PUNCTUATION)}, {quoted(' ' * len(licenses.PUNCTUATION))})"
-    form = rf"trim(regexp_replace({form}, '\s+', ' ', 'g'))"
+    form = rf"regexp_replace(trim(regexp_replace({form}, '\s+', ' ', 'g')), {quoted(licenses._TITLE)}, '')"
     known = ", ".join(f"({quoted(a)}, {quoted(b)}, {quoted(c)})" for a, b, c in KNOWN)
+    full = ", ".join(f"({quoted(a)}, 'text', {quoted(c)})" for a, _, c in FULL_TEXTS)
     return rf"""
-with known as (select distinct license_id, kind, {form.replace("@text", "text")} as form
-               from (values {known}) as k(license_id, kind, text)),
+with known as (
+  select distinct license_id, kind, sha256({form.replace("@text", "text")}) as digest
+  from (values {known}) as k(license_id, kind, text)
+  union select * from (values {full}) as k(license_id, kind, digest)
+),
 units as (
   select doc_id, 'document' as unit, coalesce(text, '') as body from documents
   union all
@@ -224,7 +231,7 @@ units as (
 ),
 forms as (select doc_id, unit, {form.replace("@text", "body")} as form from units)
 select doc_id, license_id, kind, unit, count(*)::bigint as n_matches
-from forms join known using (form) where form <> '' group by all"""
+from forms join known on known.digest = sha256(form) where form <> '' group by all"""
 
 
 def mix_sql(source: str = "documents") -> str:

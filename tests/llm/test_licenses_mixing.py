@@ -23,8 +23,43 @@ def test_known_texts_are_found_in_other_spellings(spark):
     assert licenses.scan_licenses(edge.table(spark)).collect() == []
 
 
+def test_titles_and_copyright_lines_of_real_files(spark):
+    mit = next(t for i, k, t in KNOWN if i == "MIT" and k == "text")
+    bsd = next(t for i, k, t in KNOWN if i == "BSD-2-Clause")
+    heads = [
+        "", "MIT License\n\nCopyright (c) 2020 Someone\n\n", "(c) Jane Doe\n\n", "The MIT License (MIT)\n\n",
+        "MIT License\n\nCopyright (c) [year] [fullname]\n\n", "# The MIT License\n\nCopyright Jane Doe and the ACME Contributors\n\n"
+        .replace("ACME", "Acme"), "© ACME Inc.\n\n", "Copyright (c) <year> <copyright holders>\n\n",
+    ]
+    rows = [(i, h + mit) for i, h in enumerate(heads)]
+    rows += [(20, 'BSD 2-Clause "Simplified" License\n\nCopyright (c) 2001, A\nAll rights reserved.\n\n' + bsd), (21, "MIT License"),
+             (22, "A tale\n\n" + mit.replace("free of charge", "for a fee"))]
+    got = {r.doc_id: r.license_id for r in
+           licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).where("unit = 'document'").collect()}
+    assert got == {**{i: "MIT" for i in range(len(heads))}, 20: "BSD-2-Clause"}
+
+
+def test_long_texts_by_digest(spark):
+    """Whole texts that stand on this machine, as they are and wrapped anew in capitals."""
+    import re
+    from pathlib import Path
+
+    folder, rows, want = Path("/usr/share/common-licenses"), [], {}
+    names = {"GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "Apache-2.0": "Apache-2.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    for i, (name, license_id) in enumerate(names.items()):
+        if (folder / name).exists():
+            text = (folder / name).read_text()
+            rows += [(2 * i, text), (2 * i + 1, re.sub(r"[ \t]+", "  ", text).upper())]
+            want |= {2 * i: license_id, 2 * i + 1: license_id}
+    if not rows:
+        pytest.skip("no licence texts here")
+    got = {r.doc_id: r.license_id for r in
+           licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).where("unit = 'document'").collect()}
+    assert got == want
+
+
 def test_own_texts_without_a_marker_are_still_found(spark):
-    got = licenses.scan_licenses(edge.table(spark), known=[("own", "line", "One, two, three four five six seven")]).collect()
+    got = licenses.scan_licenses(edge.table(spark), known=[("own", "line", "One, two, three four five six seven")], full=()).collect()
     assert sum(r.n_matches for r in got) == 4
 
 
