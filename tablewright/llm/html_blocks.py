@@ -3,7 +3,9 @@
 A small tag scanner: start tags open elements, end tags close up to the matching
 element, ``p``, ``li``, ``td`` and the like close themselves when the next one
 starts, void elements never open. Comments, doctypes, scripts, styles and the
-other raw-text elements give no text. A block ends wherever a block-level
+other raw-text elements give no text, nor do drawings and templates that are closed;
+formulas, fallbacks of objects and whatever stands in an element that is never closed
+are text like any other. A block ends wherever a block-level
 element starts or ends; inline elements and ``br`` (white space) stay inside.
 Character references are decoded, white space becomes one space.
 """
@@ -15,7 +17,9 @@ import re
 
 # Element names of the HTML standard by how they parse.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "title", "textarea")
+RAW = ("script", "style", "iframe", "title", "textarea")
+HIDDEN = ("svg", "template")  # left out as a whole, if they end
+FOREIGN = frozenset(("svg", "math"))  # may close themselves
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section "
@@ -35,6 +39,7 @@ CLOSES = {
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<hidden>" + "|".join(HIDDEN) + r")\b(?:[^>\"'/]|/(?!>)|\"[^\"]*\"|'[^']*')*>.*?</(?P=hidden)\s*>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*>"
     r"|(?P<text>[^<]+|<)",
@@ -101,7 +106,7 @@ def leaves(page: str) -> list[Leaf]:
             continue
         name = m.group("name")
         if name is None:
-            continue  # comment, doctype or raw text
+            continue  # comment, doctype, raw text or a hidden element
         name = name.lower()
         block = name in BLOCK
         if block:
@@ -116,7 +121,7 @@ def leaves(page: str) -> list[Leaf]:
                 if not block and stack[i][0] in BLOCK:
                     break  # an inline end tag never closes a block
             continue
-        if name in VOID:
+        if name in VOID or (name in FOREIGN and m.group("attrs").endswith("/")):
             continue
         if block:
             close_group(("p",), ("table", "button", "td", "th"))

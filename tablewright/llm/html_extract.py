@@ -7,14 +7,17 @@ sequence and labels every block as main text or not, with the context of the
 document before and after it. The text of a page is its main blocks, joined by
 one line break; nothing else is dropped or capped.
 
-Training. Pages carry no labels, so a teacher labels ``TRAIN_PAGES`` of them (those
-of least seeded digest of the id; a stated bound for fitting): a block inside an
+Training. Pages carry no labels, so a teacher labels ``TRAIN_PAGES`` of them (of at
+most ``TRAIN_BYTES``, those of least seeded digest of the id; stated bounds for
+fitting): a block inside an
 article or main element (or a container named like one) and outside menus,
 headers, footers, asides, forms, notices, adverts and comments is main text.
 The teacher's pages are also shown in rearranged templates (other containers,
-extra notices, forms, comments, menus), so that the labeller reads the path and
-the context rather than one layout. The seed is fixed; equal input gives equal
-weights. The labeller is applied to every page in one pass over the table.
+extra notices, forms, comments, menus), some with all names hidden, so that the
+labeller reads content and context rather than one layout or a list of names. The seed is fixed; equal input gives equal
+weights. The labeller is applied to every page in one pass over the table, to short
+pages some thousand blocks at once, to a longer page alone and in stretches that hand
+their states on, so its memory is that of a stretch and of the page's own blocks.
 
 Null and empty pages have an empty text. Repeated rows stay. Extra columns are
 ignored. A table without pages trains on the built-in templates alone.
@@ -41,13 +44,15 @@ INPUT = PATH_SIZE + WORD_SIZE + LENGTHS
 HIDDEN = 12
 EPOCHS = 20
 BATCH = 32
+TRAIN_BYTES = 200_000  # of a page to learn from
+CELLS = 4096  # blocks of the pages that are labelled at once
 RATE = 0.02
 SEED = 7
 
 # Names that web pages give to containers of main text and of the rest.
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_LABELS = frozenset("article content post entry story main body text articlebody maincontent".split())
-OTHER_TAGS = frozenset("nav header footer aside form menu dialog button select fieldset".split())
+OTHER_TAGS = frozenset("nav header footer aside form menu dialog button select fieldset noscript".split())
 OTHER_LABELS = frozenset(
     "ad ads advert advertisement advertising banner sponsor sponsored promo nav navbar navigation menu breadcrumb "
     "breadcrumbs header footer sidebar aside widget related share social comment comments respond reply disqus notice "
@@ -133,10 +138,10 @@ def initial(rng: np.random.Generator) -> dict[str, np.ndarray]:
     return w
 
 
-def _lstm(x: np.ndarray, mask: np.ndarray, w, side: str, keep: bool):
-    """Hidden states of one direction (x: time, pages, input); masked steps carry the state on."""
+def _lstm(x: np.ndarray, mask: np.ndarray, w, side: str, keep: bool, state=None):
+    """Hidden states of one direction (x: time, pages, input), the tape, the last state; masked steps carry it on."""
     steps, pages = mask.shape
-    h, c = np.zeros((pages, HIDDEN)), np.zeros((pages, HIDDEN))
+    h, c = state or (np.zeros((pages, HIDDEN)), np.zeros((pages, HIDDEN)))
     out = np.zeros((steps, pages, HIDDEN))
     pre = x @ w[f"{side}_x"] + w[f"{side}_c"]
     tape = []
@@ -153,7 +158,7 @@ def _lstm(x: np.ndarray, mask: np.ndarray, w, side: str, keep: bool):
         h = m * (o * tc) + (1 - m) * h
         c = m * c_new + (1 - m) * c
         out[t] = h
-    return out, tape
+    return out, tape, (h, c)
 
 
 def _lstm_back(grad_out, tape, x, w, side, grads) -> None:
@@ -183,8 +188,8 @@ def _padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _outputs(x, mask, w, keep=False):
-    hf, tape_f = _lstm(x, mask, w, "f", keep)
-    hb, tape_b = _lstm(x, mask, w, "b", keep)
+    hf, tape_f, _ = _lstm(x, mask, w, "f", keep)
+    hb, tape_b, _ = _lstm(x, mask, w, "b", keep)
     h = np.concatenate([hf, hb], axis=2)
     return _sigmoid(h @ w["o"] + w["o_c"])[:, :, 0], h, tape_f, tape_b
 
@@ -222,18 +227,40 @@ def train(sequences: list[np.ndarray], labels: list[np.ndarray]) -> dict[str, np
     return w
 
 
-def label_pages(pages: list[list[Leaf]], w: dict[str, np.ndarray], at_once: int = 64) -> list[np.ndarray]:
+def _long_page(blocks: list[Leaf], w: dict[str, np.ndarray]) -> np.ndarray:
+    """Main-text flags of one long page, in stretches: forth with one direction, back with the other."""
+    logit = np.full(len(blocks), w["o_c"][0])
+    starts = range(0, len(blocks), CELLS)
+    for side, stretches, out in (("f", starts, w["o"][:HIDDEN, 0]), ("b", reversed(starts), w["o"][HIDDEN:, 0])):
+        state = None
+        for at in stretches:
+            x = vectors(blocks[at:at + CELLS])[:, None, :]
+            h, _, state = _lstm(x, np.ones(x.shape[:2]), w, side, False, state)
+            logit[at:at + CELLS] += h[:, 0] @ out
+    return logit >= 0
+
+
+def label_pages(pages: list[list[Leaf]], w: dict[str, np.ndarray]) -> list[np.ndarray]:
     """Main-text flag of every block of every page; pages of like length go together."""
-    flat = vectors([b for p in pages for b in p])
-    bounds = np.concatenate([[0], np.cumsum([len(p) for p in pages])]).astype(int)
     out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
     order = sorted((j for j in range(len(pages)) if pages[j]), key=lambda j: len(pages[j]))
-    for at in range(0, len(order), at_once):
-        part = order[at:at + at_once]
-        x, mask = _padded([flat[bounds[j]:bounds[j + 1]] for j in part])
+    at = 0
+    while at < len(order):
+        if len(pages[order[at]]) > CELLS:
+            out[order[at]] = _long_page(pages[order[at]], w)
+            at += 1
+            continue
+        stop = at + 1  # as many as fit when padded to the longest
+        while stop < len(order) and len(pages[order[stop]]) * (stop + 1 - at) <= CELLS:
+            stop += 1
+        part = order[at:stop]
+        flat = vectors([b for j in part for b in pages[j]])
+        bounds = np.concatenate([[0], np.cumsum([len(pages[j]) for j in part])]).astype(int)
+        x, mask = _padded([flat[lo:hi] for lo, hi in zip(bounds, bounds[1:], strict=False)])
         p, *_ = _outputs(x, mask, w)
         for col, j in enumerate(part):
             out[j] = p[:len(pages[j]), col] >= 0.5
+        at = stop
     return out
 
 
@@ -263,8 +290,24 @@ INNER = (("p", ()), ("p", ()), ("p", ()), ("h2", ()), ("h3", ()), ("li", ()), ("
 FILLER = "of the in and a is it on by to was for as with der die das und la le les de el que".split()
 
 
-def rearranged(page: list[Leaf], rng: np.random.Generator) -> tuple[list[Leaf], np.ndarray]:
-    """The texts of a page in another template, with the labels that template implies."""
+def _nameless(path: tuple, names: dict, rng: np.random.Generator) -> tuple:
+    """The path below the body with every container a div of a name that says nothing."""
+    out = []
+    for tag, labels in path:
+        if tag in ("html", "body", "p", "h1", "h2", "h3", "li", "ul", "blockquote"):
+            out.append((tag, ()))
+        else:
+            out.append(names.setdefault((tag, labels), ("div", (f"c{rng.integers(10**6)}",))))
+    return tuple(out)
+
+
+def rearranged(page: list[Leaf], rng: np.random.Generator, hidden: float = 0.0) -> tuple[list[Leaf], np.ndarray]:
+    """The texts of a page in another template, with the labels that template implies.
+
+    With a chance of ``hidden`` the containers have no telling names; then every
+    container has the texts of its own kind.
+    """
+    nameless = rng.random() < hidden
     main = [b for b in page if teacher(b)]
     rest = [b for b in page if not teacher(b)]
     texts = [b.text for b in rest] or [" ".join(rng.choice(FILLER, int(rng.integers(1, 12))))]
@@ -273,7 +316,7 @@ def rearranged(page: list[Leaf], rng: np.random.Generator) -> tuple[list[Leaf],
 
     def other() -> list[Leaf]:
         path = root + OTHER_PATHS[rng.integers(len(OTHER_PATHS))]
-        pool = texts if rng.random() < 0.6 or not main else [b.text for b in main]
+        pool = texts if rng.random() < 0.6 or nameless or not main else [b.text for b in main]
         found = []
         for _ in range(int(rng.integers(1, 6))):
             text = pool[rng.integers(len(pool))]
@@ -287,13 +330,17 @@ def rearranged(page: list[Leaf], rng: np.random.Generator) -> tuple[list[Leaf],
     for n, b in enumerate(main):
         tag = ("h1", ()) if n == 0 and rng.random() < 0.7 else INNER[rng.integers(len(INNER))]
         body.append(Leaf(root + wrap + (tag,), b.text, b.linked))
-        if rng.random() < 0.05:  # an advert or a notice in between
+        if rng.random() < 0.05 and not nameless:  # an advert or a notice in between
             path = root + wrap + OTHER_PATHS[rng.integers(len(OTHER_PATHS))]
             body.append(Leaf(path, texts[rng.integers(len(texts))], 0))
     out += body
     for _ in range(int(rng.integers(0, 4))):
         out += other()
-    return out, np.array([teacher(b) for b in out], float)
+    labels = np.array([teacher(b) for b in out], float)
+    if nameless:
+        names: dict = {}
+        out = [Leaf(_nameless(b.path, names, rng), b.text, b.linked) for b in out]
+    return out, labels
 
 
 def _built_in(rng: np.random.Generator) -> list[Leaf]:
@@ -306,16 +353,24 @@ def _built_in(rng: np.random.Generator) -> list[Leaf]:
 
 def fit(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html") -> dict[str, np.ndarray]:
     """Weights from a bounded sample of the pages."""
-    rows = (
-        pages.select(F.col(id_col).cast("string").alias("id"), F.col(html_col).cast("string").alias("html"))
-        .where(F.length("html") > 0).orderBy(F.xxhash64(F.lit("html"), "id"), "html").limit(TRAIN_PAGES).collect()
+    # the sample is chosen by digests; only its own texts leave the tasks
+    rows = pages.select(F.col(id_col).cast("string").alias("id"), F.col(html_col).cast("string").alias("html")).where(
+        (F.length("html") > 0) & (F.octet_length("html") <= TRAIN_BYTES)
     )
+    keys = [F.xxhash64(F.lit("html"), "id").alias("k1"), F.xxhash64("html").alias("k2")]
+    least = rows.select(*keys).distinct().orderBy("k1", "k2").limit(TRAIN_PAGES).collect()
+    if least:
+        table = pages.sparkSession.createDataFrame(least, "k1 long, k2 long")
+        chosen = rows.select("html", *keys).join(F.broadcast(table), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+        rows = sorted(chosen.collect(), key=lambda r: (r.k1, r.k2))
+    else:
+        rows = []
     rng = np.random.default_rng(SEED)
     real = [leaves(r["html"]) for r in rows]
     real = [p for p in real if p]
     source = real or [_built_in(rng) for _ in range(40)]
     blocks = [(p, np.array([teacher(b) for b in p], float)) for p in real if any(teacher(b) for b in p)]
-    blocks += [rearranged(p, rng) for _ in range(2) for p in source]
+    blocks += [rearranged(p, rng, hidden) for hidden in (0.0, 0.0, 1.0) for p in source]
     blocks = [(p, y) for p, y in blocks if p]
     return train([vectors(p) for p, _ in blocks], [y for _, y in blocks])
 

@@ -3,7 +3,7 @@ import numpy as np
 from tablewright.llm import html_extract
 from tablewright.llm.html_blocks import leaves
 
-from ..conftest import SF001
+from ..conftest import SF01, SF001
 
 
 def test_leaves_decode_and_split():
@@ -17,6 +17,84 @@ def test_leaves_decode_and_split():
     assert leaves("") == [] and leaves("<p>") == [] and [b.text for b in leaves("a < b <")] == ["a < b <"]
 
 
+def test_no_element_swallows_the_rest_of_the_page():
+    texts = lambda page: [b.text for b in leaves(page)]
+    rest = "<p>b</p><p>c</p></article>"
+    assert texts("<article><p>a</p><svg/>" + rest) == ["a", "b", "c"]
+    assert texts("<article><p>a</p><svg width='1' />" + rest) == ["a", "b", "c"]
+    assert texts("<article><p>a</p><svg>" + rest) == ["a", "b", "c"]
+    assert texts("<article><p>a</p><svg viewBox='0/0'><text>no</text></svg>" + rest) == ["a", "b", "c"]
+    assert texts("<article><p>a</p><object data='x'>fallback" + rest) == ["a", "fallback", "b", "c"]
+    assert texts("<article><p>a</p><template>" + rest) == ["a", "b", "c"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p><math/><p>d") == ["so x=1 holds", "d"]
+    assert texts("<p>a</p><iframe src=x></iframe><p>b") == ["a", "b"]
+
+
+def test_long_pages_in_stretches(monkeypatch):
+    rng = np.random.default_rng(3)
+    w = html_extract.initial(rng)
+    page = leaves("".join(f"<{t}>text {i}, and more.</{t}>" for i, t in enumerate(["p", "nav", "div", "h2"] * 60)))
+    short = leaves("<p>one</p>")
+    want = html_extract.label_pages([page, short, []], w)
+    monkeypatch.setattr(html_extract, "CELLS", 7)
+    got = html_extract.label_pages([page, short, []], w)
+    assert all((a == b).all() for a, b in zip(got, want, strict=True)) and len(got[0]) == 240
+    assert 0 < want[0].sum() < 240
+
+
+def test_memory_of_a_page_of_many_blocks():
+    """A page of a megabyte of tiny blocks beside small ones, in a process of its own."""
+    import subprocess
+    import sys
+
+    code = (
+        "import resource, numpy as np; from tablewright.llm import html_extract as h; from tablewright.llm.html_blocks import leaves;"
+        "w = h.initial(np.random.default_rng(0)); pages = [leaves('<p>a' * 250_000)] + [leaves('<p>b')] * 63;"
+        "assert len(h.label_pages(pages, w)[0]) == 250_000;"
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600, check=True)
+    assert int(out.stdout.split()[-1]) < 500
+
+
+def _marked_pages():
+    """(page, article text) in layouts whose names are on none of the lists."""
+    rng = np.random.default_rng(17)
+    words = "river stone valley keeper lantern harbour window letter garden winter market bridge silver morning".split()
+
+    def sentence(n):
+        return " ".join(rng.choice(words, n)).capitalize() + ", and so on."
+
+    out = []
+    for i in range(60):
+        body = [sentence(int(rng.integers(20, 70))) for _ in range(int(rng.integers(3, 9)))]
+        title = sentence(4)
+        links = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in rng.choice(words, 7))
+        text = "".join(f"<p>{p}</p>" for p in body)
+        foot = f"<div class='zz{i}'><p><a href='/'>{words[i % 14]}</a></p><p><a href='/b'>about</a></p></div>"
+        layout = i % 3
+        if layout == 0:
+            page = f"<body><div class='k{i}'><ul>{links}</ul></div><div class='q{i}'><h1>{title}</h1>{text}</div>{foot}"
+        elif layout == 1:
+            page = f"<body><div id='w'><div class='one{i}'><h1>{title}</h1>{text}</div><div class='two{i}'><ul>{links}</ul></div></div>{foot}"
+        else:
+            page = f"<body><table><tr><td><ul>{links}</ul></td><td><h1>{title}</h1>{text}</td></tr></table>{foot}"
+        out.append((f"<html>{page}</body></html>", [title, *body]))
+    return out
+
+
+def test_marked_articles_in_unknown_layouts(spark):
+    """Share of article and other blocks that are labelled right where no name tells (figure in the README)."""
+    w = html_extract.fit(spark.read.parquet(f"{SF01}/pages.parquet"))
+    pages = _marked_pages()
+    blocks = [leaves(p) for p, _ in pages]
+    flags = html_extract.label_pages(blocks, w)
+    right = sum(int((b.text in set(want)) == bool(f)) for page, fl, (_, want) in zip(blocks, flags, pages, strict=True) for b, f in zip(page, fl, strict=True))
+    total = sum(map(len, blocks))
+    print(f"marked articles: {right} of {total} blocks")
+    assert right / total > 0.85
+
+
 def test_main_text_of_pages(spark):
     pages = spark.read.parquet(f"{SF001}/pages.parquet")
     rows = pages.collect()
