@@ -9,6 +9,7 @@ reference); the best run of a sweep is the child with the highest score.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.ml import PipelineModel
@@ -90,6 +91,18 @@ class RunStore:
         self._append("runs", row, RUNS_SCHEMA)
         return run_id
 
+    def log_runs(self, runs: Sequence[tuple[str, dict, float | None]], parent_run_id: str) -> list[str]:
+        """Log many runs ``(name, params, score)`` of one parent in a single append."""
+        ids = [uuid.uuid4().hex for _ in runs]
+        rows = [
+            (run_id, parent_run_id, name, None, None, None, {str(k): str(v) for k, v in params.items()},
+             None if score is None else float(score), _now())
+            for run_id, (name, params, score) in zip(ids, runs, strict=True)
+        ]
+        if rows:
+            self.spark.createDataFrame(rows, RUNS_SCHEMA).coalesce(1).write.parquet(f"{self.root}/runs/{uuid.uuid4().hex}")
+        return ids
+
     def best_child(self, parent_run_id: str) -> DataFrame:
         """The child run with the highest score (lazy, one row)."""
         return (
