@@ -13,6 +13,11 @@ action on ``panel`` fails on duplicates, whether their key is in the index or
 not. :meth:`Assembly.check_one_to_one` is the same check as a job of its own that
 names the queries and keys; ``joined`` is the plan without the guard for callers
 that have run it.
+
+A frame that is grouped (or made distinct) by identifiers has unique ones by
+construction, and Spark's optimiser knows: :func:`unique_by_plan` asks its plan for
+columns known to be distinct. Such a frame is not counted at all; the guard computes
+only those that may hold duplicates.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +47,29 @@ def _q(name: str) -> str:
     return f"`{name}`"
 
 
+def _items(jvm_collection) -> list:
+    it, out = jvm_collection.iterator(), []
+    while it.hasNext():
+        out.append(it.next())
+    return out
+
+
+def unique_by_plan(df: DataFrame, columns: list[str]) -> bool:
+    """Whether the optimised plan alone shows that no two rows share these columns.
+
+    False where nothing is known (or Spark doesn't tell); no job is started.
+    """
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        named = {a.exprId().id() for a in _items(plan.output()) if a.name() in columns}
+        return any(
+            all(e.references().size() == 1 and e.exprId().id() in named for e in _items(key))
+            for key in _items(plan.distinctKeys())
+        )
+    except (AttributeError, Py4JError, TypeError):
+        return False
+
+
 @dataclass
 class Assembly:
     """The lazy assembled table plus what is needed to check it."""
@@ -49,6 +78,10 @@ class Assembly:
     frames: dict[str, DataFrame]
     joined: DataFrame
 
+    def uncertain(self) -> dict[str, DataFrame]:
+        """The frames whose plans don't show their identifiers unique; only these need counting."""
+        return {n: df for n, df in self.frames.items() if not unique_by_plan(df, self.identifiers)}
+
     def duplicates(self) -> DataFrame:
         """J2 as a query: every duplicated identifier tuple, per query.
 
@@ -57,7 +90,7 @@ class Assembly:
         all of its rows.
         """
         parts = []
-        for name, df in self.frames.items():
+        for name, df in (self.uncertain() or {"index": self.frames["index"].limit(0)}).items():
             parts.append(
                 df.groupBy(*[_q(c) for c in self.identifiers])
                 .agg(F.count(F.lit(1)).alias("rows"))
@@ -69,11 +102,11 @@ class Assembly:
             out = out.unionByName(part)
         return out
 
-    def largest_group(self) -> DataFrame:
+    def largest_group(self, frames: Mapping[str, DataFrame] | None = None) -> DataFrame:
         """One row, ``n``: rows of the most frequent identifier tuple of any frame."""
         ids = [_q(c) for c in self.identifiers]
         out = None
-        for df in self.frames.values():
+        for df in (frames or self.frames).values():
             part = df.groupBy(*ids).agg(F.count(F.lit(1)).alias("rows")).agg(F.max("rows").alias("n"))
             out = part if out is None else out.union(part)
         return out.agg(F.max("n").alias("n"))
@@ -81,7 +114,10 @@ class Assembly:
     @property
     def panel(self) -> DataFrame:
         """The joined table; every action on it raises if a frame has duplicate keys."""
-        twice = F.coalesce(self.largest_group().scalar(), F.lit(0)) > 1
+        uncertain = self.uncertain()
+        if not uncertain:
+            return self.joined
+        twice = F.coalesce(self.largest_group(uncertain).scalar(), F.lit(0)) > 1
         message = F.lit("Merge keys are not unique; check_one_to_one() lists them")
         return self.joined.where(F.when(twice, F.raise_error(message)).otherwise(F.lit(True)))
 
