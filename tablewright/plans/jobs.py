@@ -31,10 +31,11 @@ from .snapshot import SnapshotCache, fetch_data, write_parquet
 def _keep_raw(raw: DataFrame, run_dir: str, copy_raw: bool) -> str:
     """Where the run's raw table lives.
 
-    The fetched table already is a Parquet (zstd) snapshot that is never
-    deleted, so by default the run records its location instead of writing a
-    second copy of the whole table; ``copy_raw=True`` writes ``raw.parquet``
-    into the run folder as the reference does.
+    The fetched table already is a Parquet (zstd) snapshot, so by default the run
+    records its location instead of writing a second copy of the whole table. It is
+    leased from its fetch, and no purge deletes what the run log records;
+    ``copy_raw=True`` writes ``raw.parquet`` into the run folder as the reference
+    does.
     """
     if copy_raw:
         return write_parquet(raw, f"{run_dir}/raw.parquet")

@@ -11,19 +11,24 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 from collections.abc import Iterable, Mapping
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.assemble import assemble
 from ..operators.conform import ml_conform
 from ..operators.model import DataModel, ValidationError, _message, observe_checks, unique_rows
 from ..session import file_versions, list_names, path_exists, shared_dir
 from ..sources.params import SqlParams
+from .records import RunStore
 
 TTL = timedelta(hours=6)
+# How long data outlives its clearing or expiry, and a fetched table its fetch.
+GRACE = timedelta(days=1)
 # Bumped whenever what a snapshot holds changes, so older ones are never reused.
 SNAPSHOT_FORMAT = 3
 MANIFEST_SCHEMA = "key string, path string, kind string, created_at timestamp"
@@ -68,12 +73,18 @@ class SnapshotCache:
     own key and the clear markers -- metadata calls, no Spark job -- so it stays
     cheap however many snapshots exist. Entries are never rewritten, so
     concurrent publishers cannot collide.
+
+    Invalidating and deleting are two things. ``clear`` and expiry only stop lookups
+    from returning a snapshot; :meth:`purge` deletes files, and never those that the
+    run log names as a run's raw data, that a lease (``leases/<until_ms>_<run>``, one
+    for every fetch) still covers, or that were valid less than ``grace`` ago.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, ttl: timedelta = TTL):
+    def __init__(self, spark: SparkSession, root: str | None = None, ttl: timedelta = TTL, grace: timedelta = GRACE):
         self.spark = spark
         self.root = root or shared_dir(spark, "snapshots")
         self.ttl = ttl
+        self.grace = grace
 
     @property
     def manifest(self) -> str:
@@ -122,38 +133,66 @@ class SnapshotCache:
         row = self.spark.createDataFrame([(key, path, kind, now.replace(tzinfo=None))], MANIFEST_SCHEMA)
         row.coalesce(1).write.parquet(f"{folder}/{stamp}_{run}")
 
-    def clear(self, recorded: Iterable[str] = ()) -> list[str]:
-        """Invalidate every snapshot published so far and free their files (see :meth:`purge`)."""
+    def lease(self, path: str, duration: timedelta | None = None) -> None:
+        """Keep a snapshot's files until ``duration`` (the grace time) from now, whatever is cleared."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        until = datetime.now(timezone.utc) + (self.grace if duration is None else duration)
+        run = path.rstrip("/").rsplit("/", 1)[-1]
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/leases/{int(until.timestamp() * 1000)}_{run}")
+        folder.getFileSystem(conf).mkdirs(folder)
+
+    def recorded(self) -> set[str]:
+        """Folders that the run log names as raw data."""
+        rows = RunStore(self.spark).runs().select(F.col("params")["raw_data"].alias("path")).where("path IS NOT NULL")
+        return {_plain(r.path) for r in rows.distinct().collect()}
+
+    def clear(self, recorded: Iterable[str] | None = None) -> list[str]:
+        """Invalidate every snapshot published so far, then :meth:`purge`."""
         self.publish("", "", kind="clear")
         return self.purge(recorded)
 
-    def purge(self, recorded: Iterable[str] = ()) -> list[str]:
+    def purge(self, recorded: Iterable[str] | None = None, grace: timedelta | None = None) -> list[str]:
         """Delete the data of snapshots that no lookup can return; the folders removed.
 
-        These are cleared and expired ones, and writes that failed longer than
-        the time-to-live ago. Paths in ``recorded`` (snapshots that runs name as
-        their raw data) stay, and so does everything outside this cache's root.
+        These are snapshots cleared or expired longer than the grace time ago, and
+        writes that failed that long ago and longer than the time-to-live. What the run
+        log records and what is leased stays, and so does everything outside this
+        cache's root. A caller that passes ``recorded`` says what is in use: then those
+        paths stay, and the rest goes without grace or leases.
         """
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         now_ms = int(datetime.now(timezone.utc).timestamp() * 1000)
-        cleared = max((t for t, _ in self._stamps(list_names(self.spark, f"{self.manifest}/clear"))), default=0)
-        limit = now_ms - self.ttl.total_seconds() * 1000
-        keep, gone = {p.rstrip("/") for p in recorded}, []
+        if recorded is not None:
+            keep, leased, wait = {_plain(p) for p in recorded}, set(), timedelta(0)
+        else:
+            keep = self.recorded()
+            leased = {run for t, run in self._stamps(list_names(self.spark, f"{self.root}/leases")) if t > now_ms}
+            wait = self.grace
+        wait_ms = (wait if grace is None else grace).total_seconds() * 1000
+        clears = sorted(t for t, _ in self._stamps(list_names(self.spark, f"{self.manifest}/clear")))
+        ttl_ms, gone = self.ttl.total_seconds() * 1000, []
         for folder in list_names(self.spark, f"{self.root}/data"):
             stamps = {run: t for t, run in self._stamps(list_names(self.spark, f"{self.manifest}/{folder}"))}
             for run in list_names(self.spark, f"{self.root}/data/{folder}"):
                 path = f"{self.root}/data/{folder}/{run}"
+                if run in leased or _plain(path) in keep:
+                    continue
                 hpath = jvm.org.apache.hadoop.fs.Path(path)
                 fs = hpath.getFileSystem(conf)
-                if run in stamps:
-                    stale = stamps[run] <= cleared or stamps[run] < limit
+                if run in stamps:  # invalid since the next clearing or its expiry
+                    since = min([stamps[run] + ttl_ms, *(t for t in clears if t >= stamps[run])])
                 else:  # not published: being written, or failed
-                    stale = fs.getFileStatus(hpath).getModificationTime() < limit
-                if stale and path not in keep and fs.delete(hpath, True):
+                    since = fs.getFileStatus(hpath).getModificationTime() + ttl_ms
+                if since + wait_ms <= now_ms and fs.delete(hpath, True):
                     gone.append(path)
         return gone
 
 
+def _plain(path: str) -> str:
+    """A path without the local scheme and a closing slash, for comparison."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
 def fetch_data(
     spark: SparkSession,
     params: SqlParams,
@@ -187,6 +226,7 @@ def fetch_data(
     if use_cache:
         hit = cache.lookup(key)
         if hit:
+            cache.lease(hit)
             return _read_snapshot(spark, hit, data_model)
 
     proven = [n for n, cols in data_model._unique.items() if sorted(cols) == sorted(asm.identifiers)]
@@ -201,6 +241,7 @@ def fetch_data(
     failed = [r for r in rows if not r["passed"]]
     if failed:
         raise ValidationError(_message(failed), failed)
+    cache.lease(path)
     cache.publish(key, path)
     return _read_snapshot(spark, path, data_model)
 
