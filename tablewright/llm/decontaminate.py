@@ -27,9 +27,11 @@ of 4; the default radius of 40 is five deviations out. Items of k < 5 words are
 shingle, their whole word sequence, and are looked up among the k-word sequences of
 every document; the first place of a text is reported.
 
-The benchmark is the query set: it is taken in blocks of ``ITEMS_AT_ONCE`` items,
-so the table sent to the tasks is bounded however many items there are. The
-documents are never paired with all items, and hits join by block keys.
+The benchmark is the query set. One pass over the documents serves as many items as
+have ``WORDS_AT_ONCE`` words (some tens of thousands of items; about 32 bytes a word
+are sent to the tasks); a larger benchmark is taken in blocks of that many words, so
+what is sent is bounded however many items there are. The documents are never paired
+with all items, and hits join by block keys.
 
 Null texts count as empty; empty documents and items match nothing. Repeated
 item texts each match. Extra columns are ignored. Empty tables give no rows.
@@ -52,7 +54,7 @@ WORDS = 5
 THRESHOLD = 0.8
 BITS, BLOCKS, BLOCK_BITS = 128, 16, 8
 RADIUS = 40
-ITEMS_AT_ONCE = 2_000
+WORDS_AT_ONCE = 2_000_000
 U = np.uint64
 
 
@@ -238,7 +240,9 @@ def _within_radius(windows: DataFrame, items: dict, radius: int, folder: str) ->
     index = prints.select("item", F.posexplode("item_print").alias("block", "own"), masks.alias("masks")).select(
         "item", "block", F.explode(F.transform("masks", lambda m: F.col("own").bitwiseXOR(m))).alias("value")
     )
-    keyed = windows.select("print", F.posexplode("print").alias("block", "value")).distinct()
+    # a passage that many documents share is one fingerprint before its blocks are rows
+    prints_found = written(windows.select("print").distinct(), folder, "prints")
+    keyed = prints_found.select("print", F.posexplode("print").alias("block", "value"))
     near = (
         keyed.join(index, ["block", "value"]).select("print", "item").distinct()
         .join(prints, "item").where(hamming(F.col("print"), F.col("item_print")) <= radius).select("print", "item")
@@ -273,7 +277,7 @@ def find_leaks(
     item_col: str = "item_id",
     threshold: float = THRESHOLD,
     radius: int = RADIUS,
-    items_at_once: int = ITEMS_AT_ONCE,
+    words_at_once: int = WORDS_AT_ONCE,
 ) -> DataFrame:
     """``id, item_id, start_word, n_words, similarity``: the best window per document and item."""
     spark = docs.sparkSession
@@ -283,9 +287,9 @@ def find_leaks(
     items = benchmark.select(
         F.col(item_col).cast("long").alias("item"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
-    # blocks of the query set by id order, each small enough for the driver and the tasks
-    bounds = items.agg(F.count("*")).first()[0]
-    n_blocks = max(1, -(-bounds // items_at_once))
+    # blocks of the query set, each small enough for the driver and the tasks
+    n_words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[A-Za-z0-9\x{80}-\x{10FFFF}]+")))).first()[0] or 0
+    n_blocks = max(1, -(-n_words // words_at_once))
     block_of = F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks))
     found = None
     for b in range(n_blocks):

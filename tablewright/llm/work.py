@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,9 +15,34 @@ BATCH_ROWS = 1000
 BATCH_BYTES = 4 << 20
 
 
+_scopes: list[list[str]] = []
+
+
 def work_dir(spark: SparkSession) -> str:
     """A fresh folder for the work tables of one call."""
-    return shared_dir(spark, "work", uuid.uuid4().hex)
+    folder = shared_dir(spark, "work", uuid.uuid4().hex)
+    for scope in _scopes:
+        scope.append(folder)
+    return folder
+
+
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the work tables of the calls made inside.
+
+    For a caller that has written what those calls returned: their results are lazy
+    and read the work tables.
+    """
+    mine: list[str] = []
+    _scopes.append(mine)
+    try:
+        yield
+    finally:
+        _scopes.remove(mine)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in mine:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:

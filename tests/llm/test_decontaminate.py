@@ -45,11 +45,26 @@ def test_blocks_of_items_give_the_same(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     items = spark.read.parquet(f"{SF001}/benchmark.parquet")
     one = sorted(decontaminate.find_leaks(docs, items).collect())
-    assert one and one == sorted(decontaminate.find_leaks(docs, items, items_at_once=11).collect())
+    assert one and one == sorted(decontaminate.find_leaks(docs, items, words_at_once=500).collect())
     kept = decontaminate.decontaminate(docs, items)
     assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in kept.collect()} == {r.doc_id for r in one}
 
 
+def test_one_pass_serves_many_items(spark, monkeypatch):
+    """The same rows whatever the number of other items, and the documents read once for all."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{SF001}/benchmark.parquet").select("item_id", "text")
+    few = sorted(decontaminate.find_leaks(docs, items).collect())
+    more = spark.range(10_000).selectExpr(
+        "100000 + id AS item_id",
+        "concat_ws(' ', transform(sequence(1, 12), i -> concat('z', cast(xxhash64(id, i) % 100000 AS string)))) AS text",
+    )
+    passes = []
+    real = decontaminate._fingerprint
+    monkeypatch.setattr(decontaminate, "_fingerprint", lambda *a: passes.append(1) or real(*a))
+    assert sorted(decontaminate.find_leaks(docs, items.union(more)).collect()) == few and len(passes) == 1
+
+
 def test_block_index_finds_every_fingerprint_within_the_radius(spark):
     rng = np.random.default_rng(3)
     prints = rng.integers(0, 256, (5, 16)).astype(np.uint8)

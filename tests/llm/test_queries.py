@@ -66,6 +66,17 @@ def test_stages_act_on_what_the_one_before_kept(spark):
     assert corpus_pipeline.run(spark, SF01).count() == rows
 
 
+def test_work_tables_are_freed_once_results_are_written(spark):
+    from tablewright.llm.work import freed, work_dir, written
+    from tablewright.session import path_exists
+
+    with freed(spark):
+        folder = work_dir(spark)
+        written(spark.range(3), folder, "t")
+        assert path_exists(spark, folder)
+    assert not path_exists(spark, folder)
+
+
 def test_stages_take_awkward_rows(spark):
     docs = edge.table(spark)
     for _, stage in corpus_pipeline.STAGES[:4]:
