@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import decontaminate, line_dedup, mixing, near_dups, toxicity
-from tablewright.llm.work import documents, work_dir, written
+from tablewright.llm.work import documents, freed, work_dir, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,5 +62,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark)
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), folder, name)
+        with freed(spark):  # what the stage wrote for itself goes once its result is written
+            docs = written(stage(spark, docs, sf_dir), folder, name)
     return docs
