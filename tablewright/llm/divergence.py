@@ -19,8 +19,10 @@ difference is added at the end. Everything is integer arithmetic.
 
 Counting is one pass over the texts: a task sums counts and documents of its terms
 by group in memory of at most ``FLUSH`` entries, so a hot group or term is a few
-partial sums a task. Blocks have about ``BLOCK`` postings and rows enough for
-``CELLS`` accumulators, both only units of work: nothing is capped.
+partial sums a task. A block has about as many postings as the language has pairs of
+groups, so that its accumulators are no more than what they sum (``LEAST_BLOCK`` to
+``BLOCK``), and rows enough for ``CELLS`` accumulators; these are units of work only:
+nothing is capped.
 
 Null lang, source and text read as ''. Repeated rows are documents of their own.
 Groups without terms are groups; a language without kept terms has pairs of value 0.
@@ -43,7 +45,7 @@ MIN_DOCS = 30
 TOP_TERMS = 50
 SCALE, SMOOTH = 10**9, 5
 FLUSH = 400_000
-BLOCK = 1 << 20
+LEAST_BLOCK, BLOCK = 1 << 15, 1 << 20
 CELLS = 1 << 22
 # ASCII letters lower-cased, every other ASCII byte a space, bytes of other characters as they are.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -118,11 +120,12 @@ def _groups(docs: DataFrame, index: DataFrame, folder: str) -> DataFrame:
     groups = docs.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").join(langs, "lang", "left").fillna(zero)
     mine = Window.partitionBy("lang")
     peers = F.count("*").over(mine)
+    block = F.greatest(F.lit(LEAST_BLOCK), F.least(F.lit(BLOCK), peers * peers))
     rows = F.greatest(F.lit(1), F.floor(F.lit(CELLS) / F.col("peers"))).cast("long")
     groups = groups.select(
         "*", (F.row_number().over(mine.orderBy("source")) - 1).alias("number"), peers.alias("peers"),
         _share(F.lit(0).cast("long"), F.col("size"), F.col("terms")).alias("baseline"),
-        F.greatest(F.lit(1), F.ceil(F.col("postings") / BLOCK)).cast("long").alias("blocks"),
+        F.greatest(F.lit(1), F.ceil(F.col("postings") / block)).cast("long").alias("blocks"),
     ).withColumn("rows", rows)
     return written(groups, folder, "groups")
 

@@ -34,6 +34,7 @@ def test_audit_matches_brute_force(spark, seed, min_docs):
 def test_blocks_chunks_and_flushes_do_not_show(spark, monkeypatch):
     rows = _random_rows(4, 300)
     monkeypatch.setattr(divergence, "BLOCK", 40)
+    monkeypatch.setattr(divergence, "LEAST_BLOCK", 20)
     monkeypatch.setattr(divergence, "CELLS", 10)
     monkeypatch.setattr(divergence, "FLUSH", 20)
     assert _got(spark.createDataFrame(rows, SCHEMA), min_docs=3) == brute.source_audit(rows, 3, 50)
