@@ -16,8 +16,10 @@ cross-fitting: every row is described with the counts of the other parts of the
 sample, so it never meets its own counts. Texts without words get the prior.
 
 Learning. Labels come only from documents whose crc32(doc_id as text) mod 5 is
-not 0, at most ``MAX_ROWS`` of each class, those of least seeded digest (a stated
-bound for fitting a classifier; all rows are used below it). Both classes are
+not 0, at most ``max_rows`` of each class and as many as have ``max_bytes`` of text,
+those of least seeded digest and each whole (stated bounds for fitting a classifier,
+which also bound the model that is sent to the tasks; all rows are used below them,
+and the first row of a class always). Both classes are
 counted over all those labels: the prior is their share, and in the calibration
 a row stands for as many as its class has rows in the sample, so the bound does
 not move the scores. Counting n-grams runs as a
@@ -39,7 +41,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm import arrays
@@ -48,6 +50,7 @@ from tablewright.llm.work import small_batches, work_dir, written
 ORDER = 8
 DISCOUNT = 0.75
 MAX_ROWS = 6000
+MAX_BYTES = 48 << 20
 FOLDS, HELD_OUT = 5, 0
 PARTS = 3  # of the sample, for cross-fitting
 LEVELS = (1.5, 3.0, 4.5, 6.0)
@@ -263,20 +266,30 @@ def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(keys)), *columns], names=["gram", *GROUPS])
 
 
-def _training(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folder: str):
+def _training(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folder: str, max_rows: int, max_bytes: int
+):
     """``part, toxic, text``: the bounded sample of labelled rows outside the held-out fold; all such rows by class."""
     marked = (
         labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic"))
         .where(F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & (fold_of(F.col("id")) != HELD_OUT))
         .groupBy("id").agg(F.max("toxic").alias("toxic"))
     )
-    copies = docs.select(F.col(id_col).cast("long").alias("id")).groupBy("id").agg(F.count("*").alias("copies"))
+    size = F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0))
+    copies = docs.select(F.col(id_col).cast("long").alias("id"), size.alias("size")).groupBy("id").agg(
+        F.count("*").alias("copies"), F.sum("size").alias("size")
+    )
     marked = written(marked.join(copies, "id"), folder, "marked")
     totals = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.sum("copies").alias("n")).collect()}
     digest = F.xxhash64(F.lit("toxicity"), F.col("id"))
     sample = None
     for value in (0, 1):
-        part = marked.where(F.col("toxic") == value).select("id", "toxic").orderBy(digest, "id").limit(MAX_ROWS)
+        part = marked.where(F.col("toxic") == value).select("id", "toxic", "size").orderBy(digest, "id").limit(max_rows)
+        # at most max_rows rows of ids and sizes
+        before = Window.orderBy(digest, "id").rowsBetween(Window.unboundedPreceding, -1)
+        part = part.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0))).where(
+            (F.col("before") == 0) | (F.col("before") + F.col("size") <= max_bytes)
+        ).select("id", "toxic")
         sample = part if sample is None else sample.union(part)
     sample = written(sample, folder, "sample")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -305,12 +318,18 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
+    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> Model:
-    """The two models and the calibration, from the labelled rows outside the held-out fold."""
+    """The two models and the calibration, from the labelled rows outside the held-out fold.
+
+    ``max_rows`` and ``max_bytes`` bound the sample of each class (``MAX_ROWS``, ``MAX_BYTES``).
+    """
     spark = docs.sparkSession
     small_batches(spark)
     folder = work_dir(spark)
-    rows, totals = _training(docs, labels, id_col, text_col, label_col, folder)
+    max_rows, max_bytes = max_rows or MAX_ROWS, max_bytes or MAX_BYTES
+    rows, totals = _training(docs, labels, id_col, text_col, label_col, folder, max_rows, max_bytes)
     empty = np.zeros(0)
     if not totals.get(0) or not totals.get(1):
         prior = 1.0 if totals.get(1) else 0.0
