@@ -45,6 +45,11 @@ class Vocabulary:
 
         with open(path, "rb") as f:
             model = sentencepiece.SentencePieceProcessor(model_proto=f.read())
+        probe = "ﬁ Ａ  x½\ty "
+        if model.normalize(probe) != MARK + probe.replace(" ", MARK):
+            raise ValueError(f"{path} changes texts before it splits them; only models that keep them are counted here")
+        if not any(model.is_byte(i) for i in range(model.get_piece_size())):
+            raise ValueError(f"{path} has no byte pieces for characters outside its vocabulary")
         self.rank: dict[str, float] = {}
         for i in range(model.get_piece_size()):
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)):
