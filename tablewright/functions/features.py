@@ -10,7 +10,7 @@ projection inside whole-stage codegen -- no Python runs per row.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -68,18 +68,41 @@ def by_dtype(include: str | Sequence[str]) -> Callable[[T.StructType], list[str]
 # F5 -------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Toggles:
+    """An ordered choice of input columns, each a name or a position that is on or off."""
+
+    switches: tuple[tuple[str | int, bool], ...]
+
+    @classmethod
+    def of(cls, switches: Mapping[str | int, bool]) -> Toggles:
+        return cls(tuple((key, bool(on)) for key, on in switches.items()))
+
+    def switched(self, **changes: bool) -> Toggles:
+        """the same order with some toggles changed; names that are none are refused."""
+        known = dict(self.switches)
+        unknown = [k for k in changes if k not in known]
+        if unknown:
+            raise KeyError(f"unknown feature toggle(s): {unknown}")
+        return Toggles.of({**known, **changes})
+
+    def columns(self, schema: T.StructType | None = None) -> list[str | int]:
+        """What is on; with a schema as names that are all in it."""
+        chosen: list[str | int] = []
+        for key, on in self.switches:
+            if on:
+                chosen.append(key)
+        return chosen if schema is None else resolve(chosen, schema)
+
+
 def build_columns(index: dict[int, bool] | None = None, **columns: bool) -> list[str | int]:
-    """Names switched on, in the order given; positions with ``index=`` (which goes first)."""
-    toggles = columns if index is None else index
-    return list(filter(toggles.get, toggles))
+    """Names switched on, in the order given; positions where ``index`` is given."""
+    return Toggles.of(columns if index is None else index).columns()
 
 
 def feature_list(base: dict[str, bool], **overrides: bool) -> list[str]:
     """the base toggles with some switched, as a column list."""
-    unknown = [k for k in overrides if k not in base]
-    if unknown:
-        raise KeyError(f"unknown feature toggle(s): {unknown}")
-    return build_columns(**{**base, **overrides})
+    return Toggles.of(base).switched(**overrides).columns()
 
 
 def resolve(spec: ColumnSpec, schema: T.StructType) -> list[str]:

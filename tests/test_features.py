@@ -7,6 +7,7 @@ from tablewright.functions.features import (
     ColumnTransformer,
     ImputeConstant,
     OneHot,
+    Toggles,
     build_columns,
     build_transformers,
     by_dtype,
@@ -34,6 +35,15 @@ def test_feature_list_overrides():
         feature_list({"a": True}, z=False)
 
 
+def test_toggles_resolve_against_a_schema(spark):
+    schema = spark.createDataFrame([], "x int, y int, z int").schema
+    assert Toggles.of({"z": True, "x": True, "y": False}).columns(schema) == ["z", "x"]
+    assert Toggles.of({2: True, 0: True}).columns(schema) == ["z", "x"]
+    assert Toggles.of({"x": True, "y": False}).switched(x=False, y=True).columns() == ["y"]
+    with pytest.raises(KeyError):
+        Toggles.of({"gone": True}).columns(schema)
+
+
 @pytest.fixture()
 def frame(spark):
     return spark.createDataFrame(
