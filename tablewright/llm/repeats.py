@@ -64,6 +64,7 @@ GRAM = 32
 HOT = 2000
 STRIPS = 4  # strips of the first refinement, and how many times more in each next one
 BUCKETS_PER_PARTITION = 4
+BUCKET_BYTES = 32 << 20
 _TEXTS_AT_ONCE = 1 << 16
 U = np.uint64
 
@@ -551,7 +552,9 @@ def repeated_spans(
         folder, "parts",
     )
     small, exact = _groups(parts, folder, length, gram, hot)
-    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a bucket's runs meet in one task's memory: as many as the bytes of the contexts ask for
+    size = parts.agg(F.sum(F.octet_length("left") + F.octet_length("right"))).first()[0] or 0
+    buckets = max(BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     runs = small.mapInArrow(_write_runs(buckets), _RUNS)
     merged = runs.groupBy("bucket").applyInPandas(_merge_bucket(length, gram), "ctx binary, before int, after int")
     found = written(

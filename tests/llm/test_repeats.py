@@ -34,6 +34,27 @@ def test_matches_brute_force_with_and_without_hot_groups(spark, hot):
     assert _rows(df, length=40, gram=8, hot=hot) == brute.remove_repeats(docs, 40)
 
 
+def test_planted_passages_in_many_files(spark, monkeypatch):
+    """Passages of 51 to 90 words in two or three documents each, over many partitions and buckets.
+
+    Those of at least 400 bytes are cut from all their documents; shorter ones are no
+    repeats by the contract, however many words they have. Clean documents stay whole.
+    """
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 11)))
+    texts, long_, short = [" ".join(word() for _ in range(rnd.randint(80, 300))) for _ in range(600)], set(), set()
+    for p in range(60):
+        passage = " ".join(word() for _ in range(rnd.randint(51, 90)))
+        for i in range(5 * p, 5 * p + 2 + p % 2):
+            cut = texts[i].index(" ", 200)
+            texts[i] = f"{texts[i][:cut]} {passage}{texts[i][cut:]}"
+            (long_ if len(passage) + 2 >= 400 else short).add(i)
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 10_000)
+    got = _rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(23))
+    assert got == brute.remove_repeats(list(enumerate(texts)), 400)
+    assert {d for d, r in got.items() if r[1]} == long_ and long_ and short
+
+
 def test_table_at_the_real_length(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
