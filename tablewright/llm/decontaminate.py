@@ -55,6 +55,7 @@ THRESHOLD = 0.8
 BITS, BLOCKS, BLOCK_BITS = 128, 16, 8
 RADIUS = 40
 WORDS_AT_ONCE = 2_000_000
+INDEX_BYTES = 32 << 20  # of block keys that are broadcast; a larger index is joined by its keys
 U = np.uint64
 
 
@@ -236,10 +237,13 @@ def _within_radius(windows: DataFrame, items: dict, radius: int, folder: str) ->
         [(n, p.tolist()) for n, p in enumerate(items["prints"]) if len(items["bags"][n][0])],
         "item int, item_print array<int>",
     )
-    masks = F.array(*[F.lit(m) for m in block_neighbours(radius // BLOCKS)])
+    neighbours = block_neighbours(radius // BLOCKS)
+    masks = F.array(*[F.lit(m) for m in neighbours])
     index = prints.select("item", F.posexplode("item_print").alias("block", "own"), masks.alias("masks")).select(
         "item", "block", F.explode(F.transform("masks", lambda m: F.col("own").bitwiseXOR(m))).alias("value")
     )
+    if len(items["prints"]) * BLOCKS * len(neighbours) * 24 <= INDEX_BYTES:  # so many keys of at most 24 bytes
+        index = F.broadcast(index)
     # a passage that many documents share is one fingerprint before its blocks are rows
     prints_found = written(windows.select("print").distinct(), folder, "prints")
     keyed = prints_found.select("print", F.posexplode("print").alias("block", "value"))

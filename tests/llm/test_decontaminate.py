@@ -50,6 +50,14 @@ def test_blocks_of_items_give_the_same(spark):
     assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in kept.collect()} == {r.doc_id for r in one}
 
 
+def test_an_index_too_large_to_send_gives_the_same(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    items = spark.read.parquet(f"{SF001}/benchmark.parquet")
+    sent = sorted(decontaminate.find_leaks(docs, items).collect())
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 0)
+    assert sent and sorted(decontaminate.find_leaks(docs, items).collect()) == sent
+
+
 def test_one_pass_serves_many_items(spark, monkeypatch):
     """The same rows whatever the number of other items, and the documents read once for all."""
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
