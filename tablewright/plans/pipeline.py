@@ -190,6 +190,16 @@ def make_model(
 
 
 FIT_PARTITIONS = 32
+FIT_ROWS = 1_000_000
+
+
+def fit_partitions(n_rows: int) -> int:
+    """Partitions of an iterative fit: at least ``FIT_PARTITIONS``, else one for ``FIT_ROWS`` rows.
+
+    A function of the table alone, so that a seeded forest is the same on any cluster,
+    that grows with it, so that a larger cluster has work for its cores.
+    """
+    return max(FIT_PARTITIONS, -(-n_rows // FIT_ROWS))
 
 
 def laid_out(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
@@ -216,17 +226,17 @@ def _iterative(pipeline: Pipeline) -> bool:
     return est is not None and not isinstance(est, DeepForestRegressor)
 
 
-def fit(pipeline: Pipeline, df: DataFrame, *, partitions: int = FIT_PARTITIONS) -> PipelineModel:
+def fit(pipeline: Pipeline, df: DataFrame, *, partitions: int | None = None) -> PipelineModel:
     """Fit and flatten into one ``PipelineModel``.
 
     The last two stages are always the vector assembler and the regressor.
     Iterative fits read the rows laid out by the carried identifiers in
-    ``partitions`` partitions; state more of them for larger tables.
+    ``partitions`` partitions (:func:`fit_partitions` of the number of rows).
     """
     if _iterative(pipeline):
         last = pipeline.getStages()[-1]
         keys = [c for c in last.carry if c in df.columns and c != last.label]
-        df = laid_out(df, keys or df.columns, partitions)
+        df = laid_out(df, keys or df.columns, partitions or fit_partitions(df.count()))
     fitted = pipeline.fit(df)
     flat = []
     for stage in fitted.stages:

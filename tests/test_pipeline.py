@@ -48,6 +48,12 @@ def test_prod_pipeline_fits_scores_and_predicts(spark, panel, tmp_path):
     assert a == b
 
 
+def test_layout_of_iterative_fits_grows_with_the_table():
+    from tablewright.plans.pipeline import FIT_ROWS, fit_partitions
+
+    assert [fit_partitions(n) for n in (0, 1, 32 * FIT_ROWS, 32 * FIT_ROWS + 1, 10**11)] == [32, 32, 32, 33, 100_000]
+
+
 def test_baseline_is_linear_on_numbers(spark, panel):
     model = fit(make_model("baseline"), panel)
     assert score(model, panel) == pytest.approx(1.0)
