@@ -166,8 +166,12 @@ class SnapshotCache:
             keep, leased, wait = {_plain(p) for p in recorded}, set(), timedelta(0)
         else:
             keep = self.recorded()
-            leased = {run for t, run in self._stamps(list_names(self.spark, f"{self.root}/leases")) if t > now_ms}
-            wait = self.grace
+            leases = self._stamps(list_names(self.spark, f"{self.root}/leases"))
+            leased, wait = {run for t, run in leases if t > now_ms}, self.grace
+            for t, run in leases:
+                if t <= now_ms:  # run out: the marker goes too
+                    lease = jvm.org.apache.hadoop.fs.Path(f"{self.root}/leases/{t}_{run}")
+                    lease.getFileSystem(conf).delete(lease, True)
         wait_ms = (wait if grace is None else grace).total_seconds() * 1000
         clears = sorted(t for t, _ in self._stamps(list_names(self.spark, f"{self.manifest}/clear")))
         ttl_ms, gone = self.ttl.total_seconds() * 1000, []

@@ -56,7 +56,9 @@ def test_recorded_leased_and_fresh_data_survive(events, tmp_path):
 
     for lease in (tmp_path / "snap" / "leases").iterdir():
         shutil.rmtree(lease)
+    cache.lease("elsewhere/run", timedelta(seconds=-1))
     gone = cache.purge()
+    assert list((tmp_path / "snap" / "leases").iterdir()) == []
     assert [p.rstrip("/") for p in gone] == [_raw_folder(frame).removeprefix("file://")]
     assert path_exists(events, logged) and fresh.count() == n
 
