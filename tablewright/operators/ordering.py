@@ -2,36 +2,55 @@
 
 Rows of a DataFrame have no order, but rows of Parquet files do: the position of a
 row is the number of rows in the files before its own (files in the order of their
-paths) plus its row number in its file, both from the file source's metadata. The
-check counts the rows of each file (no column is read), adds the counts up over one
-row a file, and compares the ordinal with the position in a second pass over that
-one column. Nothing is sorted or shuffled but the file counts.
+paths) plus its row number in its file, both from the file source's metadata.
+
+One pass over the ordinal alone sums up every file: its rows, and the least and the
+greatest difference between ordinal and row number. A file whose differences are all
+equal is in order, and wrong as a whole or not at all, by where the files before it
+end. Only files with differences of several kinds are read again, row by row. Nothing
+is sorted, and what is shuffled or written is one row a file.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 CHECK = "index_is_monotonically_increasing"
 
 
-def with_position(spark: SparkSession, *paths: str) -> DataFrame:
-    """The Parquet files' rows with ``__position``, their place in the table."""
-    rows = spark.read.parquet(*paths)
-    sizes = rows.groupBy(F.col("_metadata.file_path").alias("__file")).agg(F.count(F.lit(1)).alias("__rows"))
-    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
-    placed = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
-    return placed.join(starts, "__file").withColumn("__position", F.col("__start") + F.col("__index")).drop(
-        "__file", "__start", "__index"
+def file_summary(spark: SparkSession, ordinal: str, *paths: str) -> DataFrame:
+    """One row a file: ``file, start`` (its first row's position), ``n_rows``, ``shift`` (null if of several kinds)."""
+    ahead = F.col(f"`{ordinal}`").cast("decimal(20,0)") - F.col("_metadata.row_index")
+    files = spark.read.parquet(*paths).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.when((F.min(ahead) == F.max(ahead)) & (F.count(ahead) == F.count(F.lit(1))), F.min(ahead)).alias("shift"),
     )
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    return files.select("file", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("start"), "n_rows", "shift")
 
 
 def order_report(spark: SparkSession, ordinal: str, *paths: str) -> DataFrame:
     """One report row: how many rows of the files do not hold their own position in ``ordinal``."""
-    wrong = F.count_if(~F.col(f"`{ordinal}`").eqNullSafe(F.col("__position")))
-    return with_position(spark, *paths).agg(
-        F.lit(CHECK).alias("check"), F.lit(ordinal).alias("column"), wrong.alias("failed_rows"),
-        F.count(F.lit(1)).alias("total_rows"), (wrong == 0).alias("passed"),
+    place = shared_dir(spark, "work", uuid.uuid4().hex)
+    file_summary(spark, ordinal, *paths).write.parquet(place)
+    files = spark.read.parquet(place)
+    misplaced = F.when(F.col("shift") != F.col("start"), F.col("n_rows")).otherwise(0)  # null shifts are counted below
+    wrong = files.agg(F.coalesce(F.sum(misplaced), F.lit(0)).alias("wrong"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total"))
+    mixed = files.where("shift IS NULL").select("file", "start")
+    if not mixed.isEmpty():
+        rows = spark.read.parquet(*paths).select(
+            F.col(f"`{ordinal}`").alias("ordinal"), F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.row_index").alias("row_index"),
+        )
+        odd = rows.join(mixed, "file").where(~F.col("ordinal").eqNullSafe(F.col("start") + F.col("row_index")))
+        wrong = wrong.unionByName(odd.agg(F.count(F.lit(1)).alias("wrong"), F.lit(0).cast("long").alias("total")))
+    failed = F.sum("wrong")
+    return wrong.agg(
+        F.lit(CHECK).alias("check"), F.lit(ordinal).alias("column"), failed.alias("failed_rows"),
+        F.sum("total").alias("total_rows"), (failed == 0).alias("passed"),
     )
