@@ -1,6 +1,7 @@
 import random
 
 import public_tokenizers
+import pytest
 import sentencepiece
 
 from tablewright.llm.token_counts import Vocabulary, token_counts
@@ -31,6 +32,17 @@ def test_awkward_strings_equal_the_library():
     assert [vocab.count(t) for t in texts] == [len(lib.encode(t)) for t in texts]
 
 
+def test_models_that_change_texts_are_refused(monkeypatch):
+    kind = sentencepiece.SentencePieceProcessor
+    with monkeypatch.context() as m:
+        m.setattr(kind, "normalize", lambda self, text: "▁" + text.replace("ﬁ", "fi").replace(" ", "▁"))
+        with pytest.raises(ValueError, match="changes texts"):
+            Vocabulary(PATH)
+    monkeypatch.setattr(kind, "is_byte", lambda self, i: False)
+    with pytest.raises(ValueError, match="byte pieces"):
+        Vocabulary(PATH)
+
+
 def test_edge_cases(spark):
     got = token_counts(edge.table(spark), PATH).collect()
     assert len(got) == len(edge.ROWS)
