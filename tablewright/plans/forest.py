@@ -12,12 +12,14 @@ its rows meet in one group, keyed by (tree, node), and are finished there by exa
 splits at every midpoint. With a table within the bound that is the whole tree. A
 group is never larger than the bound, whatever the table, and a node that is pure or
 whose rows are all alike is a leaf at once, so a hot row never makes a large group.
+Rows that are equal in features and target are one row with the sum of their draws
+before they are dealt to the trees.
 
 A model is two tables in the shared folder: the cuts and leaves above the hand-off
-(``top``) and one row of arrays for each finished subtree (``subtrees``). To predict,
-a model of at most ``BROADCAST_BYTES`` (measured) is sent to the tasks; for a larger
-one the rows are routed down by joins and meet their subtrees in groups of bounded
-size.
+(``top``) and the nodes of the finished subtrees, a row each (``subtrees``). To predict,
+a model of at most ``BROADCAST_BYTES`` (measured) is sent to the tasks; of a larger one
+nothing passes the driver: the different points go down the top in groups of bounded
+size, meet their subtrees in such groups, and what the trees say is joined to the rows.
 """
 
 from __future__ import annotations
@@ -42,9 +44,12 @@ from ..session import shared_dir
 
 ROW_BOUND = 200_000
 QUANTILES = 64
-BROADCAST_BYTES = 64 << 20
+ACCURACY = 1_000
+BROADCAST_BYTES = 8 << 20
+BLOCK_BITS = 16  # points that go down the top of a tree in one group, as a power of two
 TREES_PER_DIGEST = 4
-SUBTREE_SCHEMA = "tree int, node string, feature array<int>, threshold array<double>, left array<int>, value array<double>"
+SUBTREE_SCHEMA = "tree int, node string, at int, feature int, threshold double, left int, value double"
+PARTS = ("feature", "threshold", "left", "value")
 TOP_SCHEMA = "tree int, node string, feature int, threshold double, value double"
 
 
@@ -170,16 +175,24 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 def _finish(table: pa.Table) -> pa.Table:
     tree = grow(*(f(table.column(c)) for f, c in ((_matrix, "x"), (pa.ChunkedArray.to_numpy, "y"), (pa.ChunkedArray.to_numpy, "w"))))
+    n = len(tree["left"])
     return pa.table({
-        "tree": pa.array([table.column("tree")[0].as_py()], pa.int32()),
-        "node": pa.array([table.column("node")[0].as_py()], pa.string()),
-        "feature": pa.array([tree["feature"]], pa.list_(pa.int32())),
-        "threshold": pa.array([tree["threshold"]], pa.list_(pa.float64())),
-        "left": pa.array([tree["left"]], pa.list_(pa.int32())),
-        "value": pa.array([tree["value"]], pa.list_(pa.float64())),
+        "tree": pa.array(np.full(n, table.column("tree")[0].as_py(), np.int32)),
+        "node": pa.repeat(pa.scalar(table.column("node")[0].as_py(), pa.string()), n),
+        "at": pa.array(np.arange(n, dtype=np.int32)),
+        "feature": pa.array(tree["feature"].astype(np.int32)),
+        "threshold": pa.array(tree["threshold"]),
+        "left": pa.array(tree["left"].astype(np.int32)),
+        "value": pa.array(tree["value"]),
     })
 
 
+def _arrays(nodes: pa.Table) -> dict[str, np.ndarray]:
+    """The arrays of one subtree from its rows in any order."""
+    order = np.argsort(nodes.column("at").to_numpy())
+    return {k: nodes.column(k).to_numpy()[order] for k in PARTS}
+
+
 # ---------------------------------------------------------------------------
 # growth above the hand-off
 
@@ -195,11 +208,16 @@ def _split_level(rows: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
         F.array(*(
             F.array_sort(F.array_distinct(F.concat(
                 F.array(F.min(F.col("x")[j])),
-                F.percentile_approx(F.col("x")[j], [q / QUANTILES for q in range(1, QUANTILES)], 10_000),
+                F.percentile_approx(F.col("x")[j], [q / QUANTILES for q in range(1, QUANTILES)], ACCURACY),
             ))) for j in range(k)
         )).alias("cuts")
     )
-    bins = F.posexplode(F.transform("cuts", lambda c, j: F.size(F.filter(c, lambda t: t < F.get(F.col("x"), j)))))
+    # how many cuts are below a value, by halves: at most 64 are, so seven steps find out
+    steps = F.array(*(F.lit(1 << b) for b in reversed(range(QUANTILES.bit_length()))))
+    below_value = lambda c, v: F.aggregate(
+        steps, F.lit(0), lambda n, step: F.when(F.get(c, n + step - 1) < v, n + step).otherwise(n)
+    )
+    bins = F.posexplode(F.transform("cuts", lambda c, j: below_value(c, F.get(F.col("x"), j))))
     sums = (
         rows.join(cuts, ["tree", "node"])
         .select("tree", "node", "w", (F.col("w") * F.col("y")).alias("s"), bins.alias("feature", "bin"))
@@ -249,7 +267,7 @@ def grow_forest(rows: DataFrame, k: int, n_rows: int, folder: str, *, row_bound:
         while True:
             rows = _written(rows, f"{work}/rows-{level}")
             states = _written(_states(rows, k, row_bound), f"{work}/states-{level}")
-            of = lambda s, states=states: states.where(F.col("state") == s).select("tree", "node")
+            of = lambda s, states=states: F.broadcast(states.where(F.col("state") == s).select("tree", "node"))
             tops.append(states.where("state = 'leaf'").selectExpr("tree", "node", "-1 AS feature", "double(0) AS threshold", "value"))
             handed.append(rows.join(of("subtree"), ["tree", "node"]))
             if states.where("state = 'split'").isEmpty():
@@ -305,17 +323,22 @@ class DeepForestRegressor(Estimator, _ForestParams):
             F.col(get("labelCol")).cast("double").alias("y"), vector_to_array(F.col(get("featuresCol"))).alias("x"),
             key_text(keys).alias("key"),
         )
-        n_rows = dataset.count()
-        if not n_rows:
+        first = base.select(F.size("x")).first()
+        if first is None:
             raise ValueError("no rows to fit")
-        k = dataset.select(F.size(vector_to_array(F.col(get("featuresCol"))))).first()[0]
         # the draws of all trees are work for every core, however few files the rows lie in
-        spread = base.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-        rows = spread.select("y", "x", F.posexplode(weights).alias("tree", "w")).where("w > 0").select(
+        spread = base.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).select("y", "x", weights.alias("w"))
+        # equal rows are one row in every tree, with their draws added (whole numbers, so in any order)
+        drawn = F.array(*(F.sum(F.col("w")[t]) for t in range(trees)))
+        kinds = _written(
+            spread.groupBy("x", "y").agg(drawn.alias("w")), shared_dir(spark, "work", uuid.uuid4().hex, "kinds")
+        )
+        spread = kinds.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        rows = spread.select("y", "x", F.posexplode("w").alias("tree", "w")).where("w > 0").select(
             "tree", F.col("w").cast("double").alias("w"), "y", "x"
         )
         folder = shared_dir(spark, "forests", uuid.uuid4().hex)
-        grow_forest(rows, k, n_rows, folder, row_bound=get("rowBound"))
+        grow_forest(rows, first[0], kinds.count(), folder, row_bound=get("rowBound"))
         return self._copyValues(DeepForestModel(folder))
 
 
@@ -342,19 +365,20 @@ class DeepForestModel(Model, _ForestParams, MLWritable, MLReadable):
 
     def size(self) -> int:
         """Bytes of the trees as arrays."""
-        nodes = self.subtrees.agg(F.sum(F.size("left"))).first()[0] or 0
-        return 24 * nodes + 64 * self.top.count()
+        return 24 * self.subtrees.count() + 64 * self.top.count()
 
     # -- a model that fits into a task ---------------------------------------
     def _trees(self) -> list[dict[str, np.ndarray]]:
         """Every tree as one set of arrays: subtrees hung under the cuts of the top."""
         finished: dict[tuple[int, str], dict] = {}
-        for r in self.subtrees.toArrow().to_pylist():
-            finished[r["tree"], r["node"]] = {k: np.array(r[k]) for k in ("feature", "threshold", "left", "value")}
+        nodes = self.subtrees.orderBy("tree", "node", "at").toArrow()
+        heads = np.flatnonzero(nodes.column("at").to_numpy() == 0).tolist()
+        for lo, hi in zip(heads, [*heads[1:], len(nodes)], strict=True):
+            part = nodes.slice(lo, hi - lo)
+            finished[part.column("tree")[0].as_py(), part.column("node")[0].as_py()] = _arrays(part)
         cuts = {(r.tree, r.node): r for r in self.top.collect()}
         out = []
         for tree in range(self.getOrDefault("numTrees")):
-            parts = {k: [] for k in ("feature", "threshold", "left", "value")}
             size, todo, places = 1, [("", 0)], []
             for node, at in todo:  # breadth first; children are neighbours
                 places.append((node, at))
@@ -391,6 +415,8 @@ class DeepForestModel(Model, _ForestParams, MLWritable, MLReadable):
 
     def tree_predictions(self, features: Column) -> Column:
         """``array<double>``: what every tree says, for a model of at most ``BROADCAST_BYTES``."""
+        if self.size() > BROADCAST_BYTES:
+            raise ValueError("the model is too large to be sent to every task; with_tree_values joins it to the rows")
         sent = self._broadcast_trees()
 
         @F.arrow_udf("array<double>")
@@ -403,10 +429,10 @@ class DeepForestModel(Model, _ForestParams, MLWritable, MLReadable):
         return each(features)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        x = vector_to_array(F.col(self.getOrDefault("featuresCol")))
         name = self.getOrDefault("predictionCol")
         if self.size() > BROADCAST_BYTES:
-            return self._joined(dataset, x, name)
+            total = F.aggregate("values", F.lit(0.0), lambda a, v: a + v)
+            return self._joined(dataset, total / F.size("values"), name)
         sent = self._broadcast_trees()
 
         @F.arrow_udf("double")
@@ -414,48 +440,99 @@ class DeepForestModel(Model, _ForestParams, MLWritable, MLReadable):
             m = _matrix(x)
             return pa.array(sum(descend(t, m) for t in sent.value) / len(sent.value))
 
-        return dataset.withColumn(name, mean(x))
+        return dataset.withColumn(name, mean(vector_to_array(F.col(self.getOrDefault("featuresCol")))))
 
     # -- a model of any size --------------------------------------------------
-    def _joined(self, dataset: DataFrame, x: Column, name: str) -> DataFrame:
-        """Rows go down the top by joins, one a level, and meet their subtree in groups of ``rowBound`` rows."""
+    def with_tree_values(self, dataset: DataFrame, name: str) -> DataFrame:
+        """The rows with what every tree says of them (``array<double>``, null of a tree without rows)."""
+        trees = self.getOrDefault("numTrees")
+        of = F.map_from_arrays("trees", "values")
+        each = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: of[t])
+        return self._joined(dataset, F.when(F.size("trees") == trees, F.col("values")).otherwise(each), name)
+
+    def _joined(self, dataset: DataFrame, said: Column, name: str) -> DataFrame:
+        """``said``, made of ``trees`` and ``values``, found once for the different points and joined to all rows."""
         work = shared_dir(dataset.sparkSession, "work", uuid.uuid4().hex)
+        x = vector_to_array(F.col(self.getOrDefault("featuresCol")))
+        rows = _written(dataset.drop(name).withColumn("__x", x), f"{work}/rows")
+        points = _written(
+            rows.select(F.col("__x").alias("x")).distinct().withColumn("point", F.monotonically_increasing_id()),
+            f"{work}/points",
+        )
+        # in the order of the trees, so that sums are the same in every run
+        of_point = F.sort_array(F.collect_list(F.struct("tree", "value")))
+        # merge joins: a compressed file tells little of what its rows take in a hash table, which the driver would build
+        values = self._values(points, work).groupBy("point").agg(of_point.alias("v")).select(
+            "point", F.col("v.tree").alias("trees"), F.col("v.value").alias("values")
+        )
+        found = _written(
+            points.hint("merge").join(values.select("point", said.alias(name)), "point").select(F.col("x").alias("__x"), name),
+            f"{work}/found",
+        )
+        return rows.hint("merge").join(found, "__x", "left").select(*[F.col(f"`{c}`") for c in rows.columns if c != "__x"], name)
+
+    def _values(self, points: DataFrame, work: str) -> DataFrame:
+        """``point, tree, value`` of the table ``point, x``; no group holds more than ``rowBound`` points."""
         bound = self.getOrDefault("rowBound")
         top, subtrees = self.top, self.subtrees
-        rows = _written(dataset.withColumn("__row", F.monotonically_increasing_id()), f"{work}/rows")
         trees = F.explode(F.sequence(F.lit(0), F.lit(self.getOrDefault("numTrees") - 1)))
-        at = rows.select("__row", x.alias("x"), trees.alias("tree")).withColumn("node", F.lit(""))
+        at = points.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))).select(
+            "point", "x", trees.alias("tree")
+        )
         cuts = top.where("feature >= 0").select("tree", "node", "feature", "threshold")
-        depth = cuts.agg(F.max(F.length("node"))).first()[0]
-        for level in range(0 if depth is None else depth + 1):
-            down = F.when(F.get("x", F.col("feature")) > F.col("threshold"), "R").otherwise("L")
-            at = at.join(cuts.where(F.length("node") == level), ["tree", "node"], "left").select(
-                "__row", "x", "tree", F.concat("node", F.when(F.col("feature").isNull(), "").otherwise(down)).alias("node")
-            )
-            if level % 8 == 7:
-                at = _written(at, f"{work}/level-{level}")
-        at = _written(at, f"{work}/routed")
-        leaves = at.join(top.where("feature < 0").select("tree", "node", "value"), ["tree", "node"]).select("__row", "value")
+        if cuts.isEmpty():
+            at = at.withColumn("node", F.lit(""))
+        else:
+            at = _written(self._routed(points, at, cuts), f"{work}/routed")
+        # only tables with a row a node of the top are sent to all tasks; points and subtrees never are
+        leaves = at.join(F.broadcast(top.where("feature < 0").select("tree", "node", "value")), ["tree", "node"])
         sizes = _written(at.groupBy("tree", "node").agg(F.count("*").alias("n")), f"{work}/sizes")
-        parts = sizes.join(subtrees.select("tree", "node"), ["tree", "node"]).select(
+        parts = F.broadcast(sizes.join(subtrees.where("at = 0").select("tree", "node"), ["tree", "node"]).select(
             "tree", "node", F.ceil(F.col("n") / bound).cast("int").alias("parts")
-        )
+        ))
         salted = at.join(parts, ["tree", "node"]).select(
-            "tree", "node", F.pmod(F.xxhash64("__row"), F.col("parts")).alias("part"), "__row", "x"
+            "tree", "node", F.pmod(F.xxhash64("point"), F.col("parts")).alias("part"), "point", "x"
         )
         spread = subtrees.join(parts, ["tree", "node"]).select(
-            "*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-        ).withColumn("part", F.col("part").cast("long")).drop("parts")
+            "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part")
+        ).drop("parts")
 
-        def meet(points: pa.Table, tree: pa.Table) -> pa.Table:
-            row = {k: np.array(tree.column(k)[0].as_py()) for k in ("feature", "threshold", "left", "value")} if len(tree) else None
-            found = descend(row, _matrix(points.column("x"))) if len(points) else np.zeros(0)
-            return pa.table({"__row": points.column("__row"), "value": pa.array(found)})
+        def meet(points: pa.Table, nodes: pa.Table) -> pa.Table:
+            found = descend(_arrays(nodes), _matrix(points.column("x"))) if len(points) else np.zeros(0)
+            return pa.table({"point": points.column("point"), "tree": points.column("tree"), "value": pa.array(found)})
 
         key = ["tree", "node", "part"]
-        found = salted.groupBy(*key).cogroup(spread.groupBy(*key)).applyInArrow(meet, "__row long, value double")
-        means = leaves.unionByName(found).groupBy("__row").agg(F.avg("value").alias(name))
-        return rows.join(means, "__row").drop("__row")
+        found = salted.groupBy(*key).cogroup(spread.groupBy(*key)).applyInArrow(meet, "point long, tree int, value double")
+        return leaves.select("point", "tree", "value").unionByName(found)
+
+    @staticmethod
+    def _routed(points: DataFrame, at: DataFrame, cuts: DataFrame) -> DataFrame:
+        """``tree, node, point, x``: every point below the top of every tree, a block of points and a tree at once."""
+        block = F.shiftright("point", BLOCK_BITS).alias("block")
+        heads = cuts.crossJoin(points.select(block).distinct())
+
+        def go(points: pa.Table, cuts: pa.Table) -> pa.Table:
+            by_node = {n: (f, t) for n, f, t in zip(*(cuts.column(c).to_pylist() for c in ("node", "feature", "threshold")), strict=True)}
+            x = _matrix(points.column("x")) if len(points) else np.zeros((0, 0))
+            names = np.empty(len(points), object)
+            todo = [("", np.arange(len(points)))]
+            while todo:
+                node, here = todo.pop()
+                if not len(here):
+                    continue
+                if node not in by_node:
+                    names[here] = node
+                    continue
+                feature, threshold = by_node[node]
+                right = x[here, feature] > threshold
+                todo += [(node + "L", here[~right]), (node + "R", here[right])]
+            return pa.table({"tree": points.column("tree"), "node": pa.array(names, pa.string()),
+                             "point": points.column("point"), "x": points.column("x")})
+
+        key = ["tree", "block"]
+        return at.select("*", block).groupBy(*key).cogroup(heads.groupBy(*key)).applyInArrow(
+            go, "tree int, node string, point long, x array<double>"
+        )
 
     # -- persistence -----------------------------------------------------------
     def write(self) -> MLWriter:

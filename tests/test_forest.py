@@ -154,3 +154,33 @@ def test_draws_are_poisson(spark):
 def test_empty_table_is_refused(spark, table):
     with pytest.raises(ValueError, match="no rows"):
         _fit(table.limit(0))
+
+
+def test_a_large_model_never_passes_the_driver(spark, table, monkeypatch):
+    """Prediction and the values of single trees with every broadcast from Python refused and no subtree in a broadcast."""
+    from pyspark.ml.functions import vector_to_array
+
+    model = _fit(table, numTrees=2, rowBound=300)
+    want = {r.id: r.p for r in table.select("id", model.tree_predictions(vector_to_array("features")).alias("p")).collect()}
+    monkeypatch.setattr(forest, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(forest.DeepForestModel, "_broadcast_trees", lambda self: pytest.fail("trees sent from the driver"))
+    with pytest.raises(ValueError, match="too large"):
+        model.tree_predictions(F.col("features"))
+    out = model.with_tree_values(table, "said")
+    assert out.columns == [*table.columns, "said"]
+    assert {r.id: list(r.said) for r in out.collect()} == want
+    predicted = model.transform(table)
+    assert {r.id: r.prediction for r in predicted.collect()} == {i: sum(p) / 2 for i, p in want.items()}
+    assert "BroadcastExchange" not in predicted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_rows_grow_as_one(spark, monkeypatch):
+    """A table of few kinds is handed off at once however many rows it has, and its trees are the same."""
+    seen = []
+    real = forest.grow_forest
+    monkeypatch.setattr(forest, "grow_forest", lambda rows, k, n, folder, **kw: (seen.append((n, rows.count())), real(rows, k, n, folder, **kw)))
+    rows = spark.range(600).selectExpr("id", "double(id % 3) AS a", "double(id % 2) AS target")
+    df = VectorAssembler(inputCols=["a"], outputCol="features").transform(rows)
+    model = _fit(df, numTrees=2, bootstrap=False, rowBound=6)
+    assert seen == [(6, 12)] and model.top.count() == 0
+    assert {r.prediction for r in model.transform(df).collect()} == {0.5}
