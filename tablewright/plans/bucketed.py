@@ -117,4 +117,5 @@ def assemble_bucketed(
         name: store.load_or_write(name, frame_key(spark, ordered[name], params, df, ids, buckets), df, ids, buckets)
         for name, df in frames.items()
     }
-    return assemble_frames(stored)
+    # merge joins: the files are far smaller than the rows, so by its size a frame of any length may be sent to every task
+    return assemble_frames({name: df.hint("merge") for name, df in stored.items()})

@@ -112,3 +112,11 @@ def test_the_guard_counts_only_what_may_repeat(tables):
     grouped = {n: df.groupBy("k").agg(F.count("*").alias(f"n_{n}")) for n, df in frames.items()}
     safe = assemble_frames({"index": grouped["index"].select("k"), "f": grouped["f"]})
     assert safe.uncertain() == {} and safe.panel.count() == 5 and safe.duplicates().count() == 0
+
+
+def test_stored_frames_are_never_broadcast(tables, tmp_path):
+    """Files that compress well look small; with broadcasts allowed the plan must still be one of merge joins."""
+    tables.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")  # the fixture sets it back
+    got = assemble_bucketed(tables, QUERIES, {"q": 10}, buckets=4, store=FrameStore(tables, str(tmp_path / "frames"))).joined
+    plan = _plan(got)
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") >= 2 and "Exchange" not in plan
