@@ -153,4 +153,5 @@ def assemble_window(
     store = store or DayStore(spark)
     frames = {name: store.fetch(q, start, end, params, version_of=version_of) for name, q in queries.items() if name != entities}
     found = store.fetch(queries[entities], start, end, params, version_of=version_of)
-    return assemble_frames({"index": entity_index(found, start, end), **frames})
+    # merge joins: stored days are far smaller than their rows, so by its size a frame of any length may be sent to every task
+    return assemble_frames({"index": entity_index(found, start, end), **{name: df.hint("merge") for name, df in frames.items()}})

@@ -123,3 +123,13 @@ def test_a_query_that_leaves_its_window_is_refused(events, tmp_path):
     empty = store.fetch(ENTITIES, last + timedelta(days=100), last + timedelta(days=101))
     assert empty.count() == 0 and empty.columns == ["id", "date"]
     assert shared_dir(events)
+
+
+def test_stored_days_are_never_broadcast(events, tmp_path):
+    """Files that compress well look small; the frames of a window are merged whatever their files' size."""
+    queries = {k: v for k, v in P.panel_queries().items() if k != "index"} | {"entities": ENTITIES}
+    first, last = P.window(events).values()
+    got = assemble_window(events, queries, first, last, entities="entities", store=DayStore(events, str(tmp_path / "days"))).joined
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
