@@ -5,12 +5,14 @@ the seed and the tree's number (:func:`bag_weights`), so the forest is the same
 however the rows lie on whatever cluster.
 
 Growth has two steps. A node with more than ``row_bound`` rows is split by a pass
-over all such nodes of all trees at once: candidate cuts are the node's own quantiles
-of each feature (and its least value, so that a node with two different rows always
-parts), their gains come from grouped sums. A node within the bound is handed off:
+over all such nodes of all trees at once: candidate cuts are above and below the
+table's quantiles of each feature, their gains come from grouped sums; a node that lies
+between two of them is cut at the middle of its range, so that a node with two different
+rows always parts. A pass reads the rows once, with their draws by all trees, and never
+a row a tree. A node within the bound is handed off:
 its rows meet in one group, keyed by (tree, node), and are finished there by exact
 splits at every midpoint. With a table within the bound that is the whole tree. A
-group is never larger than the bound, whatever the table, and a node that is pure or
+group is never larger than the bound, whatever the table, and a large node that is pure or
 whose rows are all alike is a leaf at once, so a hot row never makes a large group.
 Rows that are equal in features and target are one row with the sum of their draws
 before they are dealt to the trees.
@@ -18,15 +20,16 @@ before they are dealt to the trees.
 A model is two tables in the shared folder: the cuts and leaves above the hand-off
 (``top``) and the nodes of the finished subtrees, a row each (``subtrees``). To predict,
 a model of at most ``BROADCAST_BYTES`` (measured) is sent to the tasks; of a larger one
-nothing passes the driver: the different points go down the top in groups of bounded
-size, meet their subtrees in such groups, and what the trees say is joined to the rows.
+only the top (a row for every ``row_bound`` rows of a tree, about) passes the driver: the
+different points go down it, meet their subtrees in groups of bounded size, and what the
+trees say is joined to the rows.
 """
 
 from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +46,10 @@ from ..operators.folds import key_text
 from ..session import shared_dir
 
 ROW_BOUND = 200_000
-QUANTILES = 64
-ACCURACY = 1_000
+QUANTILES = 512
+ACCURACY = 10_000
 BROADCAST_BYTES = 8 << 20
-BLOCK_BITS = 16  # points that go down the top of a tree in one group, as a power of two
+BLOCK_ROWS = 1 << 16  # rows that a task takes down the top of the trees at once
 TREES_PER_DIGEST = 4
 SUBTREE_SCHEMA = "tree int, node string, at int, feature int, threshold double, left int, value double"
 PARTS = ("feature", "threshold", "left", "value")
@@ -68,19 +71,34 @@ def bag_weights(text: Column, num_trees: int, seed: int) -> Column:
     """``array<int>``: how often each tree draws the row with this key text (four trees a digest)."""
     digests = F.transform(
         F.sequence(F.lit(0), F.lit((num_trees - 1) // TREES_PER_DIGEST)),
-        lambda i: F.md5(F.concat(text, F.lit(f":{seed}:"), i.cast("string"))),
+        lambda i: F.md5(F.concat(F.coalesce(text, F.lit("")), F.lit(f":{seed}:"), i.cast("string"))),
     )
-    draws = F.flatten(F.transform(digests, lambda d: F.array(
-        *(F.conv(F.substring(d, 8 * j + 1, 8), 16, 10).cast("bigint") for j in range(TREES_PER_DIGEST))
-    )))
-    weight = lambda u: sum((F.when(u >= c, 1).otherwise(0) for c in poisson_cuts()), F.lit(0))
-    return F.transform(F.slice(draws, 1, num_trees), weight)
+    cuts = np.array(poisson_cuts(), np.uint32)
+
+    @F.arrow_udf("array<int>")
+    def weights(digests: pa.Array) -> pa.Array:
+        uniform = np.frombuffer(b"".join(digests.to_pylist()), ">u4").reshape(len(digests), -1)[:, :num_trees]
+        found = np.searchsorted(cuts, uniform.astype(np.uint32).ravel(), side="right").astype(np.int32)
+        return _lists(found.reshape(-1, num_trees))
+
+    return F.when(text.isNull(), F.array_repeat(F.lit(0), num_trees)).otherwise(weights(F.unhex(F.array_join(digests, ""))))
 
 
 # ---------------------------------------------------------------------------
 # exact trees of one group
 
 
+def _parted(order: np.ndarray, child: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """``order``, grouped by node, with the rows of each node's first child before those of its second (else as they were)."""
+    right = child & 1
+    second = np.cumsum(right) - right  # rows of second children so far
+    at = np.arange(len(order))
+    before = second[begin[child - right]]  # of the nodes before this one
+    out = np.empty_like(order)
+    out[np.where(right == 1, begin[child] + second - before, at - (second - before))] = order
+    return out
+
+
 def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> dict[str, np.ndarray]:
     """A tree of exact least-squares splits grown until every leaf is pure.
 
@@ -99,11 +117,13 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> dict[str, np.ndarray]:
     left, value = [np.array([-1], np.int32)], [np.array([sums.sum() / sizes.sum()])]
     node = np.zeros(len(x), np.int64)  # of the rows still in play, counted within the level
     first = 0  # number of the level's first node
-    orders = [np.argsort(x[:, j], kind="stable") for j in range(x.shape[1])]
+    # of the features that differ within a node; one that does not never will below it
+    orders = {j: np.argsort(x[:, j], kind="stable") for j in range(x.shape[1])}
     while len(node):
         count = int(node.max()) + 1
         # a node is done if it is pure or a single kind of row
-        by = np.argsort(node, kind="stable")
+        by = next(iter(orders.values()), None)
+        by = np.argsort(node, kind="stable") if by is None else by
         starts = np.searchsorted(node[by], np.arange(count))
         done = (np.minimum.reduceat(low[by], starts) == np.maximum.reduceat(high[by], starts)) | (
             np.diff(np.append(starts, len(node))) == 1
@@ -113,24 +133,27 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> dict[str, np.ndarray]:
             break
         renumber = np.cumsum(~done) - 1
         back = np.cumsum(stay) - 1
-        orders = [back[o[stay[o]]] for o in orders]
+        if not stay.all():
+            orders = {j: back[o[stay[o]]] for j, o in orders.items()}
         x, sizes, sums, low, high = x[stay], sizes[stay], sums[stay], low[stay], high[stay]
         node, numbers = renumber[node[stay]], np.flatnonzero(~done)
         count = len(numbers)
 
         best = np.full(count, -np.inf)
         which, cut = np.zeros(count, np.int32), np.zeros(count)
-        for j, o in enumerate(orders):
+        for j, o in list(orders.items()):
             n, v = node[o], x[o, j]
+            fits = np.zeros(len(n), bool)
+            fits[:-1] = (n[1:] == n[:-1]) & (v[1:] > v[:-1])
+            if not fits.any():
+                del orders[j]
+                continue
             begin = np.searchsorted(n, np.arange(count))
             cw, cs = np.cumsum(sizes[o]), np.cumsum(sums[o])
             bw, bs = cw[begin] - sizes[o][begin], cs[begin] - sums[o][begin]
             end = np.append(begin[1:], len(n)) - 1
             tw, ts = cw[end] - bw, cs[end] - bs
             lw, ls = cw - bw[n], cs - bs[n]
-            fits = np.empty(len(n), bool)
-            fits[-1] = False
-            fits[:-1] = (n[1:] == n[:-1]) & (v[1:] > v[:-1])
             rw = np.where(fits, tw[n] - lw, 1.0)
             gain = np.where(fits, ls * ls / lw + (ts[n] - ls) ** 2 / rw, -np.inf)
             top = np.maximum.reduceat(gain, begin)
@@ -152,7 +175,8 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> dict[str, np.ndarray]:
         threshold.append(np.zeros(2 * count))
         left.append(np.full(2 * count, -1, np.int32))
         value.append(s_of / w_of)
-        orders = [o[np.argsort(node[o], kind="stable")] for o in orders]
+        begin = np.concatenate([[0], np.cumsum(np.bincount(node, minlength=2 * count))])
+        orders = {j: _parted(o, node[o], begin) for j, o in orders.items()}
     parts = {"feature": feature, "threshold": threshold, "left": left, "value": value}
     return {k: np.concatenate(v) for k, v in parts.items()}
 
@@ -173,6 +197,11 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    """A list a row of a matrix."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
+
+
 def _finish(table: pa.Table) -> pa.Table:
     tree = grow(*(f(table.column(c)) for f, c in ((_matrix, "x"), (pa.ChunkedArray.to_numpy, "y"), (pa.ChunkedArray.to_numpy, "w"))))
     n = len(tree["left"])
@@ -202,92 +231,178 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _split_level(rows: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """``tree, node, feature, threshold``: the best cut of every large node, from grouped sums."""
-    cuts = rows.join(nodes, ["tree", "node"]).groupBy("tree", "node").agg(
-        F.array(*(
-            F.array_sort(F.array_distinct(F.concat(
-                F.array(F.min(F.col("x")[j])),
-                F.percentile_approx(F.col("x")[j], [q / QUANTILES for q in range(1, QUANTILES)], ACCURACY),
-            ))) for j in range(k)
-        )).alias("cuts")
-    )
-    # how many cuts are below a value, by halves: at most 64 are, so seven steps find out
-    steps = F.array(*(F.lit(1 << b) for b in reversed(range(QUANTILES.bit_length()))))
-    below_value = lambda c, v: F.aggregate(
-        steps, F.lit(0), lambda n, step: F.when(F.get(c, n + step - 1) < v, n + step).otherwise(n)
-    )
-    bins = F.posexplode(F.transform("cuts", lambda c, j: below_value(c, F.get(F.col("x"), j))))
-    sums = (
-        rows.join(cuts, ["tree", "node"])
-        .select("tree", "node", "w", (F.col("w") * F.col("y")).alias("s"), bins.alias("feature", "bin"))
-        .groupBy("tree", "node", "feature", "bin")
-        .agg(F.sum("w").alias("w"), F.sum("s").alias("s"))
+def _spread(df: DataFrame) -> DataFrame:
+    """Work on a row is for every core, however few files the rows lie in."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= BLOCK_ROWS:
+            yield pa.Table.from_batches(held)
+            held = []
+    if any(map(len, held)):
+        yield pa.Table.from_batches(held)
+
+
+def _below(x: np.ndarray, cuts: dict[str, tuple[int, float]]) -> tuple[list[str], np.ndarray]:
+    """The nodes below the cuts of a tree, and in which of them each row is."""
+    names: list[str] = []
+    at = np.zeros(len(x), np.int64)
+    todo = [("", np.arange(len(x)))]
+    while todo:
+        node, here = todo.pop()
+        if node not in cuts:
+            at[here] = len(names)
+            names.append(node)
+            continue
+        feature, threshold = cuts[node]
+        right = ~(x[here, feature] <= threshold)
+        todo += [(node + "L", here[~right]), (node + "R", here[right])]
+    return names, at
+
+
+def _drawn(block: pa.Table, trees: Iterable[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """``tree, x, y, w`` of the rows of ``y, x, w`` that each tree drew."""
+    x, y, w = _matrix(block.column("x")), block.column("y").to_numpy(), _matrix(block.column("w"))
+    for tree in trees:
+        rows = np.flatnonzero(w[:, tree])
+        yield tree, x[rows], y[rows], w[rows, tree].astype(float)
+
+
+SUMS_SCHEMA = "tree int, node string, feature int, bin int, n long, w double, s double, low double, high double"
+
+
+def _sums(kinds: DataFrame, edges: list[np.ndarray], cuts: dict, active: dict) -> DataFrame:
+    """Grouped sums of every active node by feature and bin: 2 i + 1 is edge i, 2 i lies below it. Feature -1: the target."""
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            for tree, x, y, w in _drawn(block, active):
+                names, at = _below(x, cuts.get(tree, {}))
+                number = np.array([active[tree].get(n, -1) for n in names])[at]
+                here = np.flatnonzero(number >= 0)
+                if not len(here):
+                    continue
+                x, y, w, number = x[here], y[here], w[here], number[here]
+                of = {i: n for n, i in active[tree].items()}
+                for j in range(-1, x.shape[1]):
+                    v, bins = (y, 1) if j < 0 else (x[:, j], 2 * len(edges[j]) + 1)
+                    key = number * bins
+                    if j >= 0:
+                        i = np.searchsorted(edges[j], v)
+                        key += 2 * i + (edges[j][np.minimum(i, len(edges[j]) - 1)] == v)
+                    found, key = np.unique(key, return_inverse=True)
+                    low, high = np.full(len(found), np.inf), np.full(len(found), -np.inf)
+                    np.minimum.at(low, key, v)
+                    np.maximum.at(high, key, v)
+                    yield pa.RecordBatch.from_pydict({
+                        "tree": pa.array(np.full(len(found), tree, np.int32)),
+                        "node": pa.array([of[i] for i in (found // bins).tolist()], pa.string()),
+                        "feature": pa.array(np.full(len(found), j, np.int32)),
+                        "bin": pa.array((found % bins).astype(np.int32)),
+                        "n": pa.array(np.bincount(key)), "w": pa.array(np.bincount(key, w)),
+                        "s": pa.array(np.bincount(key, w * y)), "low": pa.array(low), "high": pa.array(high),
+                    })
+
+    return _spread(kinds).mapInArrow(add, SUMS_SCHEMA).groupBy("tree", "node", "feature", "bin").agg(
+        *(F.sum(c).alias(c) for c in ("n", "w", "s")), F.min("low").alias("low"), F.max("high").alias("high")
     )
+
+
+def _best(sums: DataFrame) -> DataFrame:
+    """A row for every node: its totals, whether it is pure, its best cut, and the first feature that has two values."""
     whole = Window.partitionBy("tree", "node", "feature")
     below = whole.orderBy("bin")
-    lw, ls = F.sum("w").over(below), F.sum("s").over(below)
-    tw, ts = F.sum("w").over(whole), F.sum("s").over(whole)
-    gains = sums.select("tree", "node", "feature", "bin", lw.alias("lw"), ls.alias("ls"), tw.alias("tw"), ts.alias("ts"))
-    rest = F.col("tw") - F.col("lw")
-    gain = F.col("ls") * F.col("ls") / F.col("lw") + (F.col("ts") - F.col("ls")) ** 2 / rest
-    best = gains.where(rest > 0).groupBy("tree", "node").agg(
-        F.max(F.struct(gain.alias("gain"), (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"))).alias("best")
+    gains = sums.select(
+        "tree", "node", "feature", "bin", F.sum("n").over(below).alias("ln"),
+        F.sum("w").over(below).alias("lw"), F.sum("s").over(below).alias("ls"),
+        *(F.sum(c).over(whole).alias(f"t{c}") for c in ("n", "w", "s")),
+        F.min("low").over(whole).alias("low"), F.max("high").over(whole).alias("high"),
     )
-    at = best.join(cuts, ["tree", "node"])
-    return at.select(
-        "tree", "node", (-F.col("best.f")).alias("feature"),
-        F.get(F.get("cuts", -F.col("best.f")), -F.col("best.b")).alias("threshold"),
+    rest = F.col("tn") - F.col("ln")
+    gain = F.col("ls") * F.col("ls") / F.col("lw") + (F.col("ts") - F.col("ls")) ** 2 / (F.col("tw") - F.col("lw"))
+    cut = F.struct(gain.alias("gain"), (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"), "ln")
+    target = F.col("feature") < 0
+    return gains.groupBy("tree", "node").agg(
+        F.max(F.when(target, F.col("tn"))).alias("n"), F.max(F.when(target, F.col("ts") / F.col("tw"))).alias("value"),
+        F.max(F.when(target, F.col("low") == F.col("high"))).alias("pure"),
+        F.max(F.when(~target & (rest > 0), cut)).alias("best"),
+        F.min(F.when(~target & (F.col("low") < F.col("high")), F.struct("feature", "low", "high"))).alias("range"),
     )
 
 
-def _states(rows: DataFrame, k: int, bound: int) -> DataFrame:
-    """``tree, node, value, state``: leaf, subtree (to hand off) or split, of all nodes of a level."""
-    x = lambda j: F.col("x")[j]
-    alike = [F.min(x(j)) == F.max(x(j)) for j in range(k)]
-    same = alike[0]
-    for a in alike[1:]:
-        same = same & a
-    state = F.when((F.min("y") == F.max("y")) | same, "leaf").when(F.count("*") <= bound, "subtree").otherwise("split")
-    value = F.sum(F.col("w") * F.col("y")) / F.sum("w")
-    return rows.groupBy("tree", "node").agg(value.alias("value"), state.alias("state"))
-
-
-def grow_forest(rows: DataFrame, k: int, n_rows: int, folder: str, *, row_bound: int = ROW_BOUND) -> None:
-    """Write the ``top`` and ``subtrees`` of the trees over ``tree, w, y, x`` below ``folder``."""
-    spark = rows.sparkSession
-    rows = rows.withColumn("node", F.lit(""))
-    tops: list[DataFrame] = []
-    handed: list[DataFrame] = []
-    if n_rows <= row_bound:
-        handed.append(rows)
-    else:
-        work = shared_dir(spark, "work", uuid.uuid4().hex)
-        level = 0
-        while True:
-            rows = _written(rows, f"{work}/rows-{level}")
-            states = _written(_states(rows, k, row_bound), f"{work}/states-{level}")
-            of = lambda s, states=states: F.broadcast(states.where(F.col("state") == s).select("tree", "node"))
-            tops.append(states.where("state = 'leaf'").selectExpr("tree", "node", "-1 AS feature", "double(0) AS threshold", "value"))
-            handed.append(rows.join(of("subtree"), ["tree", "node"]))
-            if states.where("state = 'split'").isEmpty():
-                break
-            cuts = _written(_split_level(rows, of("split"), k), f"{work}/cuts-{level}")
-            tops.append(cuts.select("tree", "node", "feature", "threshold", F.lit(None).cast("double").alias("value")))
-            right = F.get("x", F.col("feature")) > F.col("threshold")
-            rows = rows.join(cuts, ["tree", "node"]).select(
-                "tree", F.concat("node", F.when(right, "R").otherwise("L")).alias("node"), "w", "y", "x"
-            )
-            level += 1
-    top = spark.createDataFrame([], TOP_SCHEMA)
-    for part in tops:
-        top = top.unionByName(part)
-    top.write.parquet(f"{folder}/top")
-    columns = ["tree", "node", "w", "y", "x"]
-    groups = handed[0].select(columns)
-    for part in handed[1:]:
-        groups = groups.unionByName(part.select(columns))
-    groups.groupBy("tree", "node").applyInArrow(_finish, SUBTREE_SCHEMA).write.parquet(f"{folder}/subtrees")
+def _edges(kinds: DataFrame, k: int) -> list[np.ndarray]:
+    """The least value and the quantiles of every feature."""
+    shares = [q / QUANTILES for q in range(1, QUANTILES)]
+    found = _spread(kinds).agg(*(
+        F.concat(F.array(F.min(F.col("x")[j])), F.percentile_approx(F.col("x")[j], shares, ACCURACY)) for j in range(k)
+    )).first()
+    return [np.unique(np.array(e, float)) for e in found]
+
+
+def _top(kinds: DataFrame, k: int, trees: Iterable[int], bound: int) -> tuple[dict, dict]:
+    """Cuts and leaves of the trees above the hand-off: ``{tree: {node: (feature, threshold)}}``, ``{tree: {node: value}}``."""
+    edges = _edges(kinds, k)
+    cuts: dict = {}
+    leaves: dict = {}
+    active = {tree: {"": 0} for tree in trees}
+    while active:
+        deeper: dict = {}
+        # a row a node: never more than the drawn rows divided by the bound, and nodes cut in the middle
+        for r in _best(_sums(kinds, edges, cuts, active)).collect():
+            if r.pure or r.range is None:
+                leaves.setdefault(r.tree, {})[r.node] = r.value
+                continue
+            if r.n <= bound:
+                continue
+            if r.best is not None:
+                edge = edges[-r.best.f][-r.best.b // 2]
+                cut, left = (-r.best.f, float(edge if r.best.b % 2 else np.nextafter(edge, -np.inf))), r.best.ln
+                sizes = (left, r.n - left)
+            else:
+                middle = r.range.low / 2 + r.range.high / 2
+                cut, sizes = (r.range.feature, middle if r.range.low <= middle < r.range.high else r.range.low), (r.n, r.n)
+            cuts.setdefault(r.tree, {})[r.node] = cut
+            for side, size in zip("LR", sizes, strict=True):
+                if size > bound:
+                    nodes = deeper.setdefault(r.tree, {})
+                    nodes[r.node + side] = len(nodes)
+        active = deeper
+    return cuts, leaves
+
+
+def _handed(kinds: DataFrame, trees: int, cuts: dict, leaves: dict) -> DataFrame:
+    """``tree, node, w, y, x`` of the rows below the cuts that are in no leaf."""
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            for tree, x, y, w in _drawn(block, range(trees)):
+                names, at = _below(x, cuts.get(tree, {}))
+                done = leaves.get(tree, {})
+                here = np.flatnonzero(~np.array([n in done for n in names])[at])
+                yield pa.RecordBatch.from_pydict({
+                    "tree": pa.array(np.full(len(here), tree, np.int32)), "node": pa.array(names, pa.string()).take(pa.array(at[here])),
+                    "w": pa.array(w[here]), "y": pa.array(y[here]), "x": _lists(x[here]),
+                })
+
+    return _spread(kinds).mapInArrow(deal, "tree int, node string, w double, y double, x array<double>")
+
+
+def grow_forest(
+    rows: DataFrame, k: int, n_rows: int, folder: str, *, kinds: DataFrame, trees: int, row_bound: int = ROW_BOUND
+) -> None:
+    """Write the ``top`` and ``subtrees`` of the trees over ``tree, w, y, x`` below ``folder``; ``kinds`` are those rows as ``y, x, w`` with a draw a tree."""
+    cuts, leaves = _top(kinds, k, range(trees), row_bound) if n_rows > row_bound else ({}, {})
+    top = [(t, n, f, v, None) for t, of in cuts.items() for n, (f, v) in of.items()]
+    top += [(t, n, -1, 0.0, v) for t, of in leaves.items() for n, v in of.items()]
+    rows.sparkSession.createDataFrame(top, TOP_SCHEMA).coalesce(1).write.parquet(f"{folder}/top")
+    groups = _handed(kinds, trees, cuts, leaves) if top else rows.withColumn("node", F.lit(""))
+    groups.select("tree", "node", "w", "y", "x").groupBy("tree", "node").applyInArrow(_finish, SUBTREE_SCHEMA).write.parquet(
+        f"{folder}/subtrees"
+    )
 
 
 # ---------------------------------------------------------------------------
@@ -326,19 +441,17 @@ class DeepForestRegressor(Estimator, _ForestParams):
         first = base.select(F.size("x")).first()
         if first is None:
             raise ValueError("no rows to fit")
-        # the draws of all trees are work for every core, however few files the rows lie in
-        spread = base.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).select("y", "x", weights.alias("w"))
+        spread = _spread(base).select("y", "x", weights.alias("w"))
         # equal rows are one row in every tree, with their draws added (whole numbers, so in any order)
         drawn = F.array(*(F.sum(F.col("w")[t]) for t in range(trees)))
         kinds = _written(
             spread.groupBy("x", "y").agg(drawn.alias("w")), shared_dir(spark, "work", uuid.uuid4().hex, "kinds")
         )
-        spread = kinds.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-        rows = spread.select("y", "x", F.posexplode("w").alias("tree", "w")).where("w > 0").select(
+        rows = _spread(kinds).select("y", "x", F.posexplode("w").alias("tree", "w")).where("w > 0").select(
             "tree", F.col("w").cast("double").alias("w"), "y", "x"
         )
         folder = shared_dir(spark, "forests", uuid.uuid4().hex)
-        grow_forest(rows, first[0], kinds.count(), folder, row_bound=get("rowBound"))
+        grow_forest(rows, first[0], kinds.count(), folder, kinds=kinds, trees=trees, row_bound=get("rowBound"))
         return self._copyValues(DeepForestModel(folder))
 
 
@@ -422,9 +535,7 @@ class DeepForestModel(Model, _ForestParams, MLWritable, MLReadable):
         @F.arrow_udf("array<double>")
         def each(x: pa.Array) -> pa.Array:
             m = _matrix(x)
-            found = np.stack([descend(t, m) for t in sent.value], axis=1)
-            offsets = np.arange(len(m) + 1, dtype=np.int32) * found.shape[1]
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel()))
+            return _lists(np.stack([descend(t, m) for t in sent.value], axis=1))
 
         return each(features)
 
@@ -473,20 +584,14 @@ class DeepForestModel(Model, _ForestParams, MLWritable, MLReadable):
 
     def _values(self, points: DataFrame, work: str) -> DataFrame:
         """``point, tree, value`` of the table ``point, x``; no group holds more than ``rowBound`` points."""
-        bound = self.getOrDefault("rowBound")
-        top, subtrees = self.top, self.subtrees
-        trees = F.explode(F.sequence(F.lit(0), F.lit(self.getOrDefault("numTrees") - 1)))
-        at = points.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))).select(
-            "point", "x", trees.alias("tree")
-        )
-        cuts = top.where("feature >= 0").select("tree", "node", "feature", "threshold")
-        if cuts.isEmpty():
-            at = at.withColumn("node", F.lit(""))
-        else:
-            at = _written(self._routed(points, at, cuts), f"{work}/routed")
+        bound, trees, subtrees = self.getOrDefault("rowBound"), self.getOrDefault("numTrees"), self.subtrees
+        cuts: dict = {}
+        leaves: dict = {}
+        for r in self.top.collect():
+            (cuts if r.feature >= 0 else leaves).setdefault(r.tree, {})[r.node] = (r.feature, r.threshold) if r.feature >= 0 else r.value
+        at = self._routed(points, trees, cuts, leaves)
+        sizes = _written(self._counted(points, trees, cuts), f"{work}/sizes")
         # only tables with a row a node of the top are sent to all tasks; points and subtrees never are
-        leaves = at.join(F.broadcast(top.where("feature < 0").select("tree", "node", "value")), ["tree", "node"])
-        sizes = _written(at.groupBy("tree", "node").agg(F.count("*").alias("n")), f"{work}/sizes")
         parts = F.broadcast(sizes.join(subtrees.where("at = 0").select("tree", "node"), ["tree", "node"]).select(
             "tree", "node", F.ceil(F.col("n") / bound).cast("int").alias("parts")
         ))
@@ -503,36 +608,58 @@ class DeepForestModel(Model, _ForestParams, MLWritable, MLReadable):
 
         key = ["tree", "node", "part"]
         found = salted.groupBy(*key).cogroup(spread.groupBy(*key)).applyInArrow(meet, "point long, tree int, value double")
-        return leaves.select("point", "tree", "value").unionByName(found)
+        return found.unionByName(self._in_leaves(points, cuts, leaves)) if leaves else found
 
     @staticmethod
-    def _routed(points: DataFrame, at: DataFrame, cuts: DataFrame) -> DataFrame:
-        """``tree, node, point, x``: every point below the top of every tree, a block of points and a tree at once."""
-        block = F.shiftright("point", BLOCK_BITS).alias("block")
-        heads = cuts.crossJoin(points.select(block).distinct())
-
-        def go(points: pa.Table, cuts: pa.Table) -> pa.Table:
-            by_node = {n: (f, t) for n, f, t in zip(*(cuts.column(c).to_pylist() for c in ("node", "feature", "threshold")), strict=True)}
-            x = _matrix(points.column("x")) if len(points) else np.zeros((0, 0))
-            names = np.empty(len(points), object)
-            todo = [("", np.arange(len(points)))]
-            while todo:
-                node, here = todo.pop()
-                if not len(here):
-                    continue
-                if node not in by_node:
-                    names[here] = node
-                    continue
-                feature, threshold = by_node[node]
-                right = x[here, feature] > threshold
-                todo += [(node + "L", here[~right]), (node + "R", here[right])]
-            return pa.table({"tree": points.column("tree"), "node": pa.array(names, pa.string()),
-                             "point": points.column("point"), "x": points.column("x")})
-
-        key = ["tree", "block"]
-        return at.select("*", block).groupBy(*key).cogroup(heads.groupBy(*key)).applyInArrow(
-            go, "tree int, node string, point long, x array<double>"
-        )
+    def _routed(points: DataFrame, trees: int, cuts: dict, leaves: dict) -> DataFrame:
+        """``tree, node, point, x``: every point below the top of every tree, but for the leaves there."""
+
+        def go(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block in _blocks(batches):
+                x, point = _matrix(block.column("x")), block.column("point").to_numpy()
+                for tree in range(trees):
+                    names, at = _below(x, cuts.get(tree, {}))
+                    done = leaves.get(tree, {})
+                    here = np.flatnonzero(~np.array([n in done for n in names])[at])
+                    yield pa.RecordBatch.from_pydict({
+                        "tree": pa.array(np.full(len(here), tree, np.int32)), "node": pa.array(names, pa.string()).take(pa.array(at[here])),
+                        "point": pa.array(point[here]), "x": _lists(x[here]),
+                    })
+
+        return _spread(points).mapInArrow(go, "tree int, node string, point long, x array<double>")
+
+    @staticmethod
+    def _counted(points: DataFrame, trees: int, cuts: dict) -> DataFrame:
+        """``tree, node, n``: how many points are below the top in every node."""
+
+        def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block in _blocks(batches):
+                x = _matrix(block.column("x"))
+                for tree in range(trees):
+                    names, at = _below(x, cuts.get(tree, {}))
+                    yield pa.RecordBatch.from_pydict({
+                        "tree": pa.array(np.full(len(names), tree, np.int32)), "node": pa.array(names, pa.string()),
+                        "n": pa.array(np.bincount(at, minlength=len(names))),
+                    })
+
+        return _spread(points).mapInArrow(count, "tree int, node string, n long").groupBy("tree", "node").agg(F.sum("n").alias("n"))
+
+    @staticmethod
+    def _in_leaves(points: DataFrame, cuts: dict, leaves: dict) -> DataFrame:
+        """``point, tree, value`` of the points in a leaf of the top."""
+
+        def say(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block in _blocks(batches):
+                x, point = _matrix(block.column("x")), block.column("point").to_numpy()
+                for tree, of in leaves.items():
+                    names, at = _below(x, cuts.get(tree, {}))
+                    value = np.array([of.get(n, np.nan) for n in names])[at]
+                    here = np.flatnonzero(np.array([n in of for n in names])[at])
+                    yield pa.RecordBatch.from_pydict({
+                        "point": pa.array(point[here]), "tree": pa.array(np.full(len(here), tree, np.int32)), "value": pa.array(value[here]),
+                    })
+
+        return _spread(points).mapInArrow(say, "point long, tree int, value double")
 
     # -- persistence -----------------------------------------------------------
     def write(self) -> MLWriter:

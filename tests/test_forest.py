@@ -184,3 +184,38 @@ def test_equal_rows_grow_as_one(spark, monkeypatch):
     model = _fit(df, numTrees=2, bootstrap=False, rowBound=6)
     assert seen == [(6, 12)] and model.top.count() == 0
     assert {r.prediction for r in model.transform(df).collect()} == {0.5}
+
+
+def test_large_trees_grow_from_rows_read_once(spark, table, monkeypatch):
+    """Above the hand-off no row is dealt to every tree, and a node between two quantiles parts all the same."""
+    real, finish = forest.grow_forest, forest._finish
+
+    def without_rows(rows, k, n, folder, **kw):
+        return real(rows.withColumn("tree", F.raise_error(F.lit("a row for every tree")).cast("int")), k, n, folder, **kw)
+
+    def bounded(t):
+        if len(t) > 25:
+            raise ValueError(f"{len(t)} rows in a group")
+        return finish(t)
+
+    monkeypatch.setattr(forest, "grow_forest", without_rows)
+    monkeypatch.setattr(forest, "_finish", bounded)
+    monkeypatch.setattr(forest, "QUANTILES", 2)
+    model = _fit(table, bootstrap=False, numTrees=2, rowBound=25)
+    assert model.top.where("feature >= 0").count() > 20
+    for size in (forest.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(forest, "BROADCAST_BYTES", size)
+        got = model.transform(table).groupBy("a", "b", "c").agg(F.avg("target").alias("m"), F.min("prediction").alias("lo"), F.max("prediction").alias("hi"))
+        assert all(r.lo == pytest.approx(r.m, rel=1e-12) and r.hi == pytest.approx(r.m, rel=1e-12) for r in got.collect())
+
+
+def test_draws_are_those_of_the_digests(spark):
+    from hashlib import md5
+
+    got = spark.createDataFrame([("a",), ("",), (None,)], "key string").select("key", bag_weights(F.col("key"), 6, 7).alias("w")).collect()
+    for r in got:
+        want = [0] * 6
+        for t in range(6 if r.key is not None else 0):
+            draw = int(md5(f"{r.key}:7:{t // 4}".encode()).hexdigest()[8 * (t % 4):][:8], 16)
+            want[t] = sum(draw >= c for c in forest.poisson_cuts())
+        assert list(r.w) == want
